@@ -174,9 +174,11 @@ def head_tail(df: DataFrame, ascending: Sequence[Column], descending: Sequence[C
 
 
 def sample_exact(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, chosen by a seeded hash of the key."""
+    """Exactly ``min(n, rows)`` rows, chosen by a seeded digest of the key (the
+    same rows on every run and in any engine)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(digest, *keys).limit(n)
 
 
 def share_of_total(df: DataFrame, value: Column | str, name: str, bounded: bool = False) -> DataFrame:

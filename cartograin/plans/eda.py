@@ -209,10 +209,12 @@ def eda_metrics(
     orders_ds, reviews_ds, customers_ds = datasets["orders"], datasets["reviews"], datasets["customers"]
     orders = eligible(orders_ds, rules)
     shipped = delivered(orders_ds, rules).filter(F.col("delivery_delay_days").isNotNull())
-    best = best_month(orders_ds, rules, min_orders).select(
-        F.date_format("purchase_year_month", "yyyy-MM").alias("strongest_complete_month"),
-        F.col("revenue").alias("strongest_month_revenue"),
-        F.col("orders").alias("strongest_month_orders"),
+    # An aggregate, so that one row remains when no month is complete.
+    leader = F.min(F.struct((-F.col("revenue")).alias("r"), "purchase_year_month", "revenue", "orders"))
+    best = monthly_complete(orders_ds, rules, min_orders).agg(leader.alias("_m")).select(
+        F.date_format("_m.purchase_year_month", "yyyy-MM").alias("strongest_complete_month"),
+        F.col("_m.revenue").alias("strongest_month_revenue"),
+        F.col("_m.orders").alias("strongest_month_orders"),
     )
     known = reviews_ds.dropna(subset=["delivery_delay_days", "review_score"])
     sides = late_against_ontime(reviews_ds)
@@ -256,7 +258,7 @@ def eda_metrics(
     )
     text = []
     for name, kind in row.dtypes:
-        value = F.round(name, 6) if kind == "double" else F.col(name)
+        value = F.round(name, 6).cast("decimal(38,6)") if kind == "double" else F.col(name)
         text.append(F.struct(F.lit(name).alias("metric"), value.cast("string").alias("value")))
     return row.select(F.explode(F.array(*text)).alias("m")).select("m.metric", "m.value")
 

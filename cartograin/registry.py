@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from .functions import expressions as X
 from .operators import evaluation, joins, quality, ranking, statistics, timeseries
 from .operators.joins import decimals_to_double
 from .plans import customers, datasets, delivery, eda, feedback, forecasting, late_delivery, products, sales, segmentation, validation
+from .session import checkpointed
 from .sources.binding import RULES, Roles, bind
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,10 +47,14 @@ def tables(r: Roles) -> dict[str, DataFrame]:
     }
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles that depend on the order of addition, cut to stable digits."""
+def rounded(df: DataFrame, digits: int = 6, **others: int) -> DataFrame:
+    """Doubles that depend on the order of addition, cut to stable digits
+    (``others`` gives columns with digits of their own)."""
     return df.select(
-        *[F.round(name, digits).alias(name) if kind == "double" else F.col(name) for name, kind in decimals_to_double(df).dtypes]
+        *[
+            F.round(name, others.get(name, digits)).alias(name) if kind == "double" else F.col(name)
+            for name, kind in decimals_to_double(df).dtypes
+        ]
     )
 
 
@@ -751,7 +758,7 @@ def _(r):
 
 @query("f25_rolling_means")
 def _(r):
-    return rounded(eda.rolling_means(daily(r)), 4)
+    return rounded(eda.rolling_means(daily(r)))
 
 
 @query("f25_spikes")
@@ -822,6 +829,10 @@ def _(r):
     return rounded(banded, 4)
 
 
+# Deviations of revenue carry fewer stable digits than its means.
+STD_DIGITS = {"rolling_std_7": 3, "rolling_std_28": 3}
+
+
 def order_series(r: Roles) -> DataFrame:
     return forecasting.to_series(daily(r))
 
@@ -833,7 +844,7 @@ def _(r):
 
 @query("h8_rolling_previous")
 def _(r):
-    return rounded(timeseries.rolling_previous(order_series(r), ["series"], "date", "value"), 3)
+    return rounded(timeseries.rolling_previous(order_series(r), ["series"], "date", "value"), **STD_DIGITS)
 
 
 @query("h9_drop_incomplete")
@@ -871,12 +882,28 @@ def _(r):
     return ranking.head_tail(spend, [F.asc("orders"), F.asc("customer_id")], [F.desc("orders"), F.desc("customer_id")], 8)
 
 
-@query("i4_sample_size")
+@query("i4_sample_exact")
+def _(r):
+    return ranking.sample_exact(r.orders, "order_id", 10_000).select("order_id", "order_status")
+
+
+@query("i3_order_by_hidden")
+def _(r):
+    """The two statuses whose first order came earliest; the date that
+    decides is not reported."""
+    first = r.orders.groupBy("order_status").agg(
+        F.count(F.lit(1)).alias("orders"), F.min(F.struct("order_purchase_timestamp", "order_id")).alias("_first")
+    )
+    return first.orderBy("_first").limit(2).drop("_first")
+
+
+@query("i7_latest_per_key")
 def _(r):
-    """The sample itself depends on the hash; its size and membership do not."""
-    sample = ranking.sample_exact(r.orders, "order_id", 10_000)
-    joined = sample.select("order_id").join(r.orders.select("order_id"), "order_id")
-    return joined.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("order_id").alias("orders"))
+    """Latest order of every customer with its location."""
+    located = joins.lookup_join(r.orders, r.customers, "customer_id", heavy_from=r.orders)
+    return joins.latest_row(
+        located, "customer_unique_id", "order_purchase_timestamp", "order_id", ["order_id", "customer_state", "customer_city"]
+    )
 
 
 @query("i5_union_all")
@@ -1016,7 +1043,7 @@ def _(r):
 
 @query("m1_make_features")
 def _(r):
-    return rounded(timeseries.make_features(order_series(r), ["series"]), 3)
+    return rounded(timeseries.make_features(order_series(r), ["series"]), **STD_DIGITS)
 
 
 def event_days(r: Roles) -> DataFrame:
@@ -1090,3 +1117,186 @@ def _(r):
 def _(r):
     chosen = seasonal_backtest(r).filter(F.col("model") == "SeasonalNaive7")
     return rounded(forecasting.residual_quantiles(chosen), 4)
+
+
+# --- fitted models: rows only in the SQL comparison -----------------------
+
+# Smaller ensembles than the library defaults, so that a check run stays short.
+CLASSIFIERS = late_delivery.CandidateSettings(trees=20, tree_depth=8, boosting_rounds=10, boosting_depth=4)
+REGRESSORS = forecasting.ForecastSettings(trees=20, tree_depth=8, boosting_rounds=10, boosting_depth=4)
+RESTARTS = 2
+
+
+def split_rows(r: Roles) -> DataFrame:
+    """The split modelling rows, written once: every fit reads them many times."""
+    return checkpointed(late_delivery.split_dataset(modeling(r)))
+
+
+def train_rows(split: DataFrame) -> DataFrame:
+    return split.filter(F.col("split") == "train")
+
+
+def fitted(split: DataFrame, name: str):
+    return late_delivery.fit_candidates(train_rows(split), CLASSIFIERS, (name,))[name]
+
+
+@query("k1_preprocess")
+def _(r):
+    split = split_rows(r)
+    stages = late_delivery.build_preprocessor(train_rows(split), scale_numeric=True)
+    vectors = Pipeline(stages=stages).fit(train_rows(split)).transform(split)
+    values = vector_to_array("features")
+    return vectors.select("order_id", F.size(values).alias("width"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"))
+
+
+@query("k2_dummy_prior")
+def _(r):
+    split = split_rows(r)
+    scored = late_delivery.score(fitted(split, "DummyClassifier"), split)
+    return rounded(scored.select("order_id", "split", "late_delivery_probability"))
+
+
+def _compared(r: Roles, name: str) -> DataFrame:
+    split = split_rows(r)
+    return late_delivery.compare_models({name: fitted(split, name)}, split)
+
+
+@query("k3_logistic")
+def _(r):
+    return _compared(r, "LogisticRegression")
+
+
+@query("k4_random_forest")
+def _(r):
+    return _compared(r, "RandomForestClassifier")
+
+
+@query("k5_boosted_trees")
+def _(r):
+    return _compared(r, "GBTClassifier")
+
+
+@query("k8_select_model")
+def _(r):
+    split = split_rows(r)
+    models = late_delivery.fit_candidates(train_rows(split), CLASSIFIERS)
+    return late_delivery.select_model(late_delivery.compare_models(models, split))
+
+
+@query("k10_permutation_importance")
+def _(r):
+    split = split_rows(r)
+    validation_rows = split.filter(F.col("split") == "validation")
+    return late_delivery.permutation_importance(fitted(split, "LogisticRegression"), validation_rows)
+
+
+@query("k12_predict_late_delivery")
+def _(r):
+    split = split_rows(r)
+    test = split.filter(F.col("split") == "test").drop("split", late_delivery.TARGET)
+    predicted = late_delivery.predict_late_delivery(fitted(split, "LogisticRegression"), test, 0.55)
+    return predicted.select("order_id", "late_delivery_probability", "predicted_late_delivery", "risk_label")
+
+
+def written_rfm(r: Roles) -> DataFrame:
+    return checkpointed(rfm_dataset(r))
+
+
+def clustered(r: Roles, k: int = 3) -> DataFrame:
+    prepared = segmentation.prepare(written_rfm(r))
+    return segmentation.fit_clusters(prepared, k, RESTARTS).transform(prepared.frame).drop("features")
+
+
+@query("l4_cluster_pipeline")
+def _(r):
+    return clustered(r).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@query("l5_evaluate_k")
+def _(r):
+    return segmentation.evaluate_k(written_rfm(r), range(2, 9), RESTARTS)[0]
+
+
+@query("l6_select_k")
+def _(r):
+    results, _ = segmentation.evaluate_k(written_rfm(r), range(2, 5), RESTARTS)
+    return results.filter(F.col("k") == segmentation.select_k(results))
+
+
+@query("l7_cluster_profiles")
+def _(r):
+    return segmentation.cluster_profiles(checkpointed(clustered(r)))
+
+
+@query("l8_cluster_names")
+def _(r):
+    profiles = segmentation.cluster_profiles(checkpointed(clustered(r)))
+    named = segmentation.with_cluster_names(profiles, segmentation.cluster_names(profiles))
+    return segmentation.with_recommendations(named).select("cluster_id", "cluster_name", "recommendation")
+
+
+@query("l10_pca_2d")
+def _(r):
+    placed, shares = segmentation.pca_2d(segmentation.prepare(written_rfm(r)))
+    return placed.withColumn("explained", F.lit(sum(shares)))
+
+
+@query("l11_predict_segment")
+def _(r):
+    rfm = written_rfm(r)
+    model = segmentation.cluster_pipeline(segmentation.prepare(rfm), 3, RESTARTS)
+    names = {i: f"Cluster {i}" for i in range(3)}
+    return segmentation.predict_segment(model, rfm, names).select("customer_unique_id", "cluster_id", "cluster_name")
+
+
+def target_series(r: Roles, target: str = "daily_orders") -> DataFrame:
+    return checkpointed(order_series(r)).filter(F.col("series") == target)
+
+
+@query("m3_recursive_forecast")
+def _(r):
+    series = checkpointed(event_days(r).filter(F.col("date") <= F.lit("2024-01-30").cast("date")))
+    history = target_series(r)
+    model = forecasting.fit_model("LinearRegression", history)
+    states = forecasting.series_state(history.unionByName(series))
+    return forecasting.recursive_forecast(model, states.filter(F.size("hist") == forecasting.HISTORY), 14)
+
+
+@query("m4_candidates")
+def _(r):
+    history = target_series(r)
+    parts = []
+    for name in forecasting.MODELS:
+        model = forecasting.fit_model(name, history, REGRESSORS)
+        rows = model.transform(timeseries.make_features(history, ["series"]))
+        pairs = rows.select(F.col("target").alias("actual"), F.col("prediction").alias("predicted"))
+        parts.append(evaluation.error_metrics(pairs).withColumn("model", F.lit(name)))
+    return joins.union_all(*parts)
+
+
+@query("m6_walk_forward")
+def _(r):
+    predictions = forecasting.walk_forward(target_series(r), ("LinearRegression",), REGRESSORS)
+    return forecasting.backtest_metrics(predictions)
+
+
+@query("m9_holdout_evaluation")
+def _(r):
+    return forecasting.holdout_evaluation(target_series(r, "daily_revenue"), "RandomForestRegressor", REGRESSORS)[0]
+
+
+@query("m12_generate_forecast")
+def _(r):
+    series = checkpointed(order_series(r))
+    chosen = seasonal_backtest(r).filter(F.col("model") == "SeasonalNaive7")
+    artifacts = {
+        target: forecasting.fit_artifact("SeasonalNaive7", series.filter(F.col("series") == target))
+        for target in ("daily_orders", "daily_revenue")
+    }
+    spread = forecasting.residual_quantiles(chosen)
+    return forecasting.wide_forecast(forecasting.generate_forecast(artifacts, spread, 30))
+
+
+@query("m13_fit_artifact")
+def _(r):
+    return forecasting.fit_artifact("LinearRegression", target_series(r)).forecast(7)

@@ -553,8 +553,8 @@ SQL["f25_weekday_means"] = f"""
 SQL["f25_month_sums"] = f"""
     SELECT CAST(date_trunc('month', date) AS DATE) AS month, {big('sum(daily_orders)')} AS daily_orders,
            {dbl('sum(daily_revenue)')} AS daily_revenue FROM daily GROUP BY 1"""
-SQL["f25_rolling_means"] = "SELECT date, daily_orders, round(CAST(daily_revenue AS DOUBLE), 4) AS daily_revenue, " + ", ".join(
-    f"CASE WHEN row_number() OVER (ORDER BY date) >= {w} THEN round(avg(CAST({c} AS DOUBLE)) OVER (ORDER BY date ROWS {w - 1} PRECEDING), 4) END AS {c}_mean_{w}"
+SQL["f25_rolling_means"] = "SELECT date, daily_orders, round(CAST(daily_revenue AS DOUBLE), 6) AS daily_revenue, " + ", ".join(
+    f"CASE WHEN row_number() OVER (ORDER BY date) >= {w} THEN round(avg(CAST({c} AS DOUBLE)) OVER (ORDER BY date ROWS {w - 1} PRECEDING), 6) END AS {c}_mean_{w}"
     for c in ("daily_orders", "daily_revenue") for w in (7, 30)
 ) + " FROM daily"
 SQL["f25_spikes"] = "SELECT " + ", ".join(
@@ -566,6 +566,9 @@ SQL["f26_weekday_residuals"] = """
 SQL["f26_largest_residuals"] = """
     SELECT date, actual, predicted, residual, weekday FROM residuals ORDER BY abs(residual) DESC, date LIMIT 10"""
 SQL["f27_rfm_log_histogram"] = histogram("(SELECT ln(1 + monetary::DOUBLE) AS v FROM rfm)", "v", 60, None, 5)
+SQL["f27_scatter_sample"] = f"""
+    SELECT customer_unique_id, recency, {dbl('monetary')} AS monetary FROM rfm
+    ORDER BY md5(concat_ws(':', customer_unique_id, '42')), customer_unique_id LIMIT 20000"""
 SQL["f28_sample_rows"] = """
     SELECT order_id, customer_id, order_status, bought AS order_purchase_timestamp FROM sales_orders ORDER BY order_id LIMIT 3"""
 
@@ -584,7 +587,7 @@ SQL["h5_quantile_bin"] = "SELECT customer_unique_id, CAST(m_score AS INTEGER) AS
 _EDGES = """
     WITH q AS (SELECT quantile_cont(item_value, [0.0, 0.25, 0.5, 0.75, 1.0]) AS e FROM modeling),
     edges AS (SELECT list_sort(list_distinct(e)) AS e FROM q),
-    banded AS (SELECT m.*, e, least(greatest(len(e) - 1, 1), 1 + len(list_filter(e[2:], x -> x < item_value))) AS band FROM {}, edges)"""
+    banded AS (SELECT m.*, e, least(greatest(len(e) - 1, 1), 1 + len(list_filter(e[2:], lambda x: x < item_value))) AS band FROM {}, edges)"""
 SQL["h6_quantile_band"] = _EDGES.format("modeling m") + """
     SELECT order_id, round(item_value, 4) AS item_value, CAST(band AS INTEGER) AS band, round(e[band], 4) AS band_lower,
            round(coalesce(e[band + 1], e[band]), 4) AS band_upper FROM banded"""
@@ -593,13 +596,13 @@ SQL["h7_lags"] = "SELECT *, " + ", ".join(
 ) + " FROM series"
 
 
-def _rolling(function: str, name: str, width: int, digits: int = 3) -> str:
+def _rolling(function: str, name: str, width: int, digits: int) -> str:
     window = f"OVER (PARTITION BY series ORDER BY date ROWS BETWEEN {width} PRECEDING AND 1 PRECEDING)"
     return f"CASE WHEN count(value) {window} = {width} THEN round({function}(value) {window}, {digits}) END AS rolling_{name}_{width}"
 
 
-_ROLLS = ", ".join([_rolling("avg", "mean", w) for w in (7, 14, 28)] + [_rolling("stddev_samp", "std", w) for w in (7, 28)])
-SQL["h8_rolling_previous"] = f"SELECT series, date, round(value, 3) AS value, {_ROLLS} FROM series"
+_ROLLS = ", ".join([_rolling("avg", "mean", w, 6) for w in (7, 14, 28)] + [_rolling("stddev_samp", "std", w, 3) for w in (7, 28)])
+SQL["h8_rolling_previous"] = f"SELECT series, date, round(value, 6) AS value, {_ROLLS} FROM series"
 SQL["h9_drop_incomplete"] = """
     SELECT series, min(date) + 28 AS first_day, count(*) - 28 AS days FROM series GROUP BY 1"""
 _SPLIT = """CASE WHEN place <= floor(n * 0.7::DOUBLE) THEN 'train' WHEN place <= floor(n * 0.85::DOUBLE) THEN 'validation' ELSE 'test' END"""
@@ -626,7 +629,13 @@ SQL["i2_head_tail"] = """
     WITH c AS (SELECT customer_id, count(*) AS orders FROM sales_orders GROUP BY 1)
     SELECT * FROM (SELECT * FROM c ORDER BY orders, customer_id LIMIT 8)
     UNION SELECT * FROM (SELECT * FROM c ORDER BY orders DESC, customer_id DESC LIMIT 8)"""
-SQL["i4_sample_size"] = "SELECT least(10000, count(*)) AS rows, least(10000, count(DISTINCT order_id)) AS orders FROM sales_orders"
+SQL["i4_sample_exact"] = """
+    SELECT order_id, order_status FROM sales_orders ORDER BY md5(concat_ws(':', order_id, '42')), order_id LIMIT 10000"""
+SQL["i3_order_by_hidden"] = """
+    SELECT order_status, count(*) AS orders FROM sales_orders GROUP BY 1 ORDER BY min({'d': bought, 'o': order_id}) LIMIT 2"""
+SQL["i7_latest_per_key"] = """
+    SELECT DISTINCT ON (customer_unique_id) customer_unique_id, order_id, customer_state, customer_city
+    FROM sales_orders JOIN customers USING (customer_id) ORDER BY customer_unique_id, bought DESC, order_id"""
 SQL["i5_union_all"] = " UNION ALL ".join(
     f"SELECT '{n}' AS source, count(*) AS rows, count(DISTINCT order_id) AS orders FROM {t}"
     for n, t in (("orders", "sales_orders"), ("items", "items"), ("payments", "payments"))
@@ -684,11 +693,11 @@ SQL["l12_minmax"] = f"""
 
 SQL["m1_make_features"] = (
     "SELECT * FROM (SELECT series, date, "
-    + ", ".join(f"round(lag(value, {k}) OVER (PARTITION BY series ORDER BY date), 3) AS lag_{k}" for k in (1, 2, 3, 7, 14, 28))
+    + ", ".join(f"round(lag(value, {k}) OVER (PARTITION BY series ORDER BY date), 6) AS lag_{k}" for k in (1, 2, 3, 7, 14, 28))
     + f""", {_ROLLS}, CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST(day(date) AS INTEGER) AS day_of_month,
         CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter, CAST(weekofyear(date) AS INTEGER) AS week_of_year,
         CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-        CAST(date - min(date) OVER (PARTITION BY series) AS INTEGER) AS time_index, round(value, 3) AS target FROM series)
+        CAST(date - min(date) OVER (PARTITION BY series) AS INTEGER) AS time_index, round(value, 6) AS target FROM series)
     WHERE lag_28 IS NOT NULL"""
 )
 SQL["m2_naive_last_value"] = """
@@ -722,4 +731,50 @@ SQL["m11_interval_quantiles"] = """
     SELECT series, round(quantile_cont(actual - predicted, 0.05), 4) AS lower, round(quantile_cont(actual - predicted, 0.95), 4) AS upper
     FROM backtest WHERE model = 'SeasonalNaive7' GROUP BY 1"""
 
+# --- the long metric table ------------------------------------------------
+
+_S = {"late": "delay_days > 0", "ontime": "delay_days <= 0"}
+_LONG = {
+    "eligible_orders": ("SELECT count(*) FROM eligible_ds", False),
+    "revenue": ("SELECT sum(value) FROM eligible_ds", True),
+    "average_order_value": (f"SELECT {avg('value')} FROM eligible_ds", True),
+    "unique_customers": ("SELECT count(*) FROM spending", False),
+    "repeat_customer_rate_pct": ("SELECT 100 * avg(CAST(orders > 1 AS INTEGER)) FROM spending", True),
+    "strongest_complete_month": (f"SELECT strftime(purchase_year_month, '%Y-%m') FROM ({COMPLETE}) ORDER BY revenue DESC LIMIT 1", False),
+    "strongest_month_revenue": (f"SELECT max(revenue) FROM ({COMPLETE})", True),
+    "strongest_month_orders": (f"SELECT orders FROM ({COMPLETE}) ORDER BY revenue DESC LIMIT 1", False),
+    "average_delivery_days": ("SELECT avg(delivery_days) FROM delivered_ds", True),
+    "late_delivery_rate_pct": ("SELECT 100 * avg(CAST(late AS INTEGER)) FROM delivered_ds", True),
+    "freight_delivery_n": ("SELECT count(*) FROM delivered_ds", False),
+    "average_review_score": ("SELECT avg(score) FROM reviews_ds", True),
+    **{f"{side}_review_mean": (f"SELECT avg(score) FROM reviews_ds WHERE {cond}", True) for side, cond in _S.items()},
+    **{f"{side}_review_median": (f"SELECT quantile_cont(score, 0.5) FROM reviews_ds WHERE {cond}", True) for side, cond in _S.items()},
+    **{f"{side}_review_n": (f"SELECT count(*) FROM reviews_ds WHERE {cond}", False) for side, cond in _S.items()},
+    "delay_review_n": ("SELECT count(*) FROM reviews_ds WHERE delay_days IS NOT NULL", False),
+    **{f"{n}_pearson": (f"SELECT corr({x}, {y}) FROM {t}", True) for n, (t, x, y) in list(_PAIRS.items())[:3]},
+    **{f"{n}_spearman": (f"SELECT {spearman(t, x, y)}", True) for n, (t, x, y) in _PAIRS.items() if n != "order_freight"},
+    "minimum_item_price": ("SELECT min(price) FROM items_ds", True),
+    "maximum_item_price": ("SELECT max(price) FROM items_ds", True),
+    "negative_item_prices": ("SELECT count(*) FROM items_ds WHERE price < 0", False),
+    "negative_freight_values": ("SELECT count(*) FROM items_ds WHERE freight < 0", False),
+    "negative_delivery_durations": ("SELECT count(*) FROM eligible_ds WHERE delivery_days < 0", False),
+    "purchase_date_min": ("SELECT min(bought) FROM eligible_ds", False),
+    "purchase_date_max": ("SELECT max(bought) FROM eligible_ds", False),
+    **{f"nation_{i}_delivery_mean_days": (f"SELECT avg(delivery_days) FROM delivered_ds WHERE customer_state = 'NATION_{i}'", True) for i in (1, 2, 3)},
+    "products_missing_category": ("SELECT count(*) FROM products WHERE product_category_name IS NULL", False),
+    "zero_installment_payments": ("SELECT count(*) FROM payments WHERE installments = 0", False),
+    "undefined_payment_methods": ("SELECT count(*) FROM payments WHERE payment_type = 'N'", False),
+    "delivered_missing_timestamp": ("SELECT count(*) FROM shipped WHERE order_status = 'F' AND arrived IS NULL", False),
+}
+SQL["f18_eda_metrics"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, CAST({f'CAST(round(CAST(({sql}) AS DOUBLE), 6) AS DECIMAL(38,6))' if real else f'({sql})'} AS VARCHAR) AS value"
+    for name, (sql, real) in _LONG.items()
+)
+
+# Training prevalence: the constant probability of the prior model.
+SQL["k2_dummy_prior"] = f"""
+    WITH parts AS (SELECT order_id, is_late_delivery, {_SPLIT} AS split FROM (
+        SELECT *, row_number() OVER (ORDER BY purchase_timestamp, order_id) AS place, count(*) OVER () AS n FROM modeling))
+    SELECT order_id, split, round((SELECT avg(is_late_delivery) FROM parts WHERE split = 'train'), 6) AS late_delivery_probability FROM parts"""
+
 ORACLE: dict[str, str] = {name: with_roles(sql) for name, sql in SQL.items()}
