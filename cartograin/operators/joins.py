@@ -44,12 +44,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is within the broadcast limit, in
+    which case Spark broadcasts ``df`` by itself."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= limit
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
     heavy_from: DataFrame | None = None,
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Many-to-one equi join; ``right`` must be unique on ``on``.
 
@@ -59,11 +68,18 @@ def lookup_join(
     as they would fill partitions, and the single matching right row is repeated
     once per bucket. The repeats are bounded by the number of shuffle partitions,
     so nothing but the hot keys pays for it.
+
+    A right side small enough to be broadcast leaves the left side where it is,
+    so nothing needs spreading. ``bounded_by`` names a stored table that is no
+    smaller than ``right``, where ``right`` is a join whose size Spark cannot
+    estimate well.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if heavy_from is None:
+    if bounded_by is not None and fits_broadcast(bounded_by):
+        return left.join(F.broadcast(right), keys, how)
+    if heavy_from is None or fits_broadcast(right):
         return left.join(right, keys, how)
 
     heavy = F.broadcast(hot_keys(heavy_from, keys))
@@ -134,7 +150,7 @@ def star_join(
     """Items with their order, product and (optional) translated category."""
     catalogue = products.join(translation, "product_category_name", "left")
     by_order = lookup_join(items, orders, "order_id", heavy_from=items)
-    return lookup_join(by_order, catalogue, "product_id", heavy_from=items)
+    return lookup_join(by_order, catalogue, "product_id", heavy_from=items, bounded_by=products)
 
 
 def shift_self_join(

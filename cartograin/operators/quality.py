@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpointed
 from .joins import assemble_row, orphans, union_all
 from .ranking import exact_quantiles
 
@@ -117,6 +118,7 @@ def describe_stats(df: DataFrame, columns: Sequence[str], percentiles: Sequence[
     """Per numeric column: count, mean, std, min, percentiles, max, and skewness
     with the small-sample correction."""
     parts = []
+    df = checkpointed(df.select(*columns))  # read twice per column below
     for name in columns:
         value = F.col(name).cast("double")
         n = F.count(value).cast("double")

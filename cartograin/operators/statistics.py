@@ -31,7 +31,8 @@ def percentile_cap(df: DataFrame, columns: Sequence[str], q: float = 0.99, appro
 def histogram(df: DataFrame, column: str, bins: int, cap: float | None = None) -> DataFrame:
     """Equal-width counts over [min, max]; the maximum falls in the last bin and
     empty bins are reported with 0."""
-    source = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
+    # One narrow column, read once per step below, so written once.
+    source = checkpointed(df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull()))
     if cap is not None:
         source = percentile_cap(source, ["v"], cap)
     value = F.col("v").cast("double")
@@ -65,7 +66,8 @@ def value_counts(df: DataFrame, column: Column | str, name: str, count: str = "n
 def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 45, cap: float | None = 0.99) -> DataFrame:
     """Counts on a hexagonal lattice: two rectangular lattices, one shifted by
     half a cell, each point going to the nearer centre. Non-empty cells only."""
-    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    # Two narrow columns, read once per step below, so written once.
+    points = checkpointed(df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna())
     if cap is not None:
         points = percentile_cap(points, ["x", "y"], cap)
     across, down = gridsize, int(gridsize / math.sqrt(3))

@@ -17,6 +17,7 @@ from ..functions.expressions import (
 )
 from ..operators.joins import assemble_row, latest, with_scalar
 from ..operators.ranking import exact_quantiles, share_of_total, top_k
+from ..session import checkpointed
 from .sales import orders_per_person, paid_orders
 
 
@@ -84,7 +85,8 @@ def top_customers(
 def customer_spend_stats(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, rules: StatusRules = DEFAULT_RULES
 ) -> DataFrame:
-    activity = customer_activity(orders, customers, payments, rules).select("total_spend")
+    # Averaged and ranked, so written once.
+    activity = checkpointed(customer_activity(orders, customers, payments, rules).select("total_spend"))
     average = activity.agg(F.round(mean("total_spend"), 2).alias("average_customer_spend"))
     middle = exact_quantiles(activity, "total_spend", {"median": 0.5})
     return assemble_row(average, middle.select(F.round("median", 2).alias("median_customer_spend")))

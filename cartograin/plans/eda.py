@@ -28,6 +28,7 @@ from ..operators.joins import assemble_row, lookup_join
 from ..operators.ranking import exact_quantiles, head_tail, top_k
 from ..operators.statistics import hexbin, pearson, spearman, value_counts
 from ..operators.timeseries import rolling_mean
+from ..session import checkpointed
 from .products import order_scores
 
 
@@ -170,8 +171,9 @@ def category_review_extremes(
 
 def late_against_ontime(reviews_ds: DataFrame) -> DataFrame:
     """Mean, median and number of scores on either side of the promise."""
-    known = reviews_ds.dropna(subset=["delivery_delay_days", "review_score"])
-    sided = known.withColumn("side", F.when(F.col("delivery_delay_days") > 0, "late").otherwise("ontime"))
+    known = reviews_ds.select("delivery_delay_days", "review_score").dropna()
+    side = F.when(F.col("delivery_delay_days") > 0, "late").otherwise("ontime")
+    sided = checkpointed(known.select(side.alias("side"), "review_score"))  # averaged and ranked
     basics = sided.groupBy("side").agg(mean("review_score").alias("mean"), F.count(F.lit(1)).alias("n"))
     middles = exact_quantiles(sided, "review_score", {"median": 0.5}, by=["side"])
     return basics.join(middles, "side")
@@ -179,6 +181,7 @@ def late_against_ontime(reviews_ds: DataFrame) -> DataFrame:
 
 def state_duration(orders_ds: DataFrame, states: Sequence[str], rules: StatusRules = DEFAULT_RULES) -> DataFrame:
     chosen = delivered(orders_ds, rules).filter(F.col("customer_state").isin(*states))
+    chosen = checkpointed(chosen.select("customer_state", "delivery_days"))  # averaged and ranked
     basics = chosen.groupBy("customer_state").agg(mean("delivery_days").alias("mean"), F.count(F.lit(1)).alias("count"))
     middles = exact_quantiles(chosen, "delivery_days", {"median": 0.5}, by=["customer_state"])
     return basics.join(middles, "customer_state")
@@ -200,13 +203,31 @@ def spearman_table(orders_ds: DataFrame, reviews_ds: DataFrame, rules: StatusRul
     )
 
 
+METRIC_COLUMNS = (
+    "order_status",
+    "order_value",
+    "maximum_installments",
+    "freight_value",
+    "customer_state",
+    "purchase_timestamp",
+    "purchase_year_month",
+    "delivered_customer_at",
+    "delivery_days",
+    "delivery_delay_days",
+    "is_late_delivery",
+)
+
+
 def eda_metrics(
     datasets: dict[str, DataFrame], states: Sequence[str], rules: StatusRules = DEFAULT_RULES, min_orders: int = 100
 ) -> DataFrame:
     """All named figures as (metric, value) text rows, one per metric."""
     from .validation import anomaly_counts
 
-    orders_ds, reviews_ds, customers_ds = datasets["orders"], datasets["reviews"], datasets["customers"]
+    # Each dataset is read many times below: its columns are written once.
+    orders_ds = checkpointed(datasets["orders"].select(*METRIC_COLUMNS))
+    reviews_ds = checkpointed(datasets["reviews"].select("review_score", "delivery_delay_days"))
+    customers_ds = datasets["customers"]
     orders = eligible(orders_ds, rules)
     shipped = delivered(orders_ds, rules).filter(F.col("delivery_delay_days").isNotNull())
     # An aggregate, so that one row remains when no month is complete.

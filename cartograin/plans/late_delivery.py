@@ -30,7 +30,6 @@ from ..functions.expressions import (
     is_delivered,
     is_late,
     iso_weekday,
-    mean,
     risk_label,
     same_state_flag,
     zip_region,
@@ -127,9 +126,10 @@ RATIONALE = {
 def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, translation: DataFrame) -> DataFrame:
     """One row per order with items.
 
-    Sums, distinct counts and the dominant category and seller state all come
-    from one grouping-sets pass: the joined items are read once, each set is
-    combined on the map side, and a second aggregation folds the sets per order.
+    Sums, distinct counts and the dominant category and seller state come from
+    one pass over the joined items: each item yields one row for the sums and
+    one per counted value, all are combined on the map side, and a second
+    aggregation folds them per order.
     """
     catalogue = products.join(translation, "product_category_name", "left").select(
         "product_id",
@@ -139,39 +139,50 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
         "product_height_cm",
         "product_width_cm",
     )
-    detail = lookup_join(items, catalogue, "product_id", heavy_from=items)
+    detail = lookup_join(items, catalogue, "product_id", heavy_from=items, bounded_by=products)
     detail = lookup_join(detail, sellers.select("seller_id", "seller_state"), "seller_id", heavy_from=items)
     sizes = ("length", "height", "width")
-    keys = ["order_id", "category", "seller_state", "product_id", "seller_id"]
-    sets = [["order_id"], *[["order_id", key] for key in keys[1:]]]
-    grouped = detail.groupingSets(sets, *keys).agg(
-        F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("price").alias("price"),
-        F.sum("freight_value").alias("freight"),
-        F.sum("product_weight_g").alias("weight"),
-        *[mean(f"product_{s}_cm").alias(s) for s in sizes],
+    measures = {
+        "price": F.col("price"),
+        "freight": F.col("freight_value"),
+        "weight": F.col("product_weight_g"),
+        **{size: F.col(f"product_{size}_cm").cast("double") for size in sizes},
+    }
+    # Row kinds: 0 carries the measures, 1 to 4 carry one value to count each.
+    category, state, product, seller = 1, 2, 3, 4
+    counted = {category: "category", state: "seller_state", product: "product_id", seller: "seller_id"}
+    shaped = detail.select("order_id", *counted.values(), *[c.alias(f"_{n}") for n, c in measures.items()])
+    nothing = [F.lit(None).cast(shaped.schema[f"_{name}"].dataType) for name in measures]
+    cells = [F.lit(0), F.lit(None).cast("string"), *[F.col(f"_{name}") for name in measures]]
+    for kind, name in counted.items():
+        cells += [F.lit(kind), F.col(name).cast("string"), *nothing]
+    grouped = (
+        shaped.select("order_id", F.stack(F.lit(len(counted) + 1), *cells).alias("kind", "v", *measures))
+        .groupBy("order_id", "kind", "v")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(name).alias(name) for name in ("price", "freight", "weight")],
+            *[F.avg(size).alias(size) for size in sizes],
+        )
     )
-    # grouping_id bits, high to low: order, category, state, product, seller (1 = rolled up).
-    whole, category, state, product, seller = 0b01111, 0b00111, 0b01011, 0b01101, 0b01110
 
-    def of(which: int, value):
-        return F.when(F.col("_set") == which, value)
+    def of(kind: int, value):
+        return F.when(F.col("kind") == kind, value)
 
-    def dominant(which: int, name: str):
-        entry = F.struct((-F.col("n")).alias("s"), F.col(name).isNull().alias("m"), F.col(name).alias("v"))
-        return F.min(of(which, entry))["v"]
+    def dominant(kind: int):
+        entry = F.struct((-F.col("n")).alias("s"), F.col("v").isNull().alias("m"), F.col("v").alias("v"))
+        return F.min(of(kind, entry))["v"]
 
     return grouped.groupBy("order_id").agg(
-        F.max(of(whole, F.col("price"))).cast("double").alias("item_value"),
-        F.max(of(whole, F.col("freight"))).cast("double").alias("freight_value"),
-        F.max(of(whole, F.col("n"))).alias("item_count"),
-        F.count(of(product, F.col("product_id"))).alias("unique_products"),
-        F.count(of(seller, F.col("seller_id"))).alias("seller_count"),
-        F.max(of(whole, F.col("weight"))).cast("double").alias("total_product_weight_g"),
-        *[F.max(of(whole, F.col(s))).alias(f"average_product_{s}_cm") for s in sizes],
-        dominant(category, "category").alias("dominant_product_category"),
-        dominant(state, "seller_state").alias("dominant_seller_state"),
+        F.max("price").cast("double").alias("item_value"),
+        F.max("freight").cast("double").alias("freight_value"),
+        F.max(of(0, F.col("n"))).alias("item_count"),
+        F.count(of(product, F.col("v"))).alias("unique_products"),
+        F.count(of(seller, F.col("v"))).alias("seller_count"),
+        F.max("weight").cast("double").alias("total_product_weight_g"),
+        *[F.max(size).alias(f"average_product_{size}_cm") for size in sizes],
+        dominant(category).alias("dominant_product_category"),
+        dominant(state).alias("dominant_seller_state"),
     )
 
 

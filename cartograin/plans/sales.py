@@ -23,6 +23,7 @@ from ..functions.expressions import (
 )
 from ..operators.joins import assemble_row, join_at_grain, shift_self_join
 from ..operators.ranking import exact_quantiles, share_of_total, top_k
+from ..session import checkpointed
 
 
 def paid_orders(orders: DataFrame, payments: DataFrame, rules: StatusRules = DEFAULT_RULES, how: str = "inner") -> DataFrame:
@@ -58,6 +59,7 @@ def business_overview(
         "order_id",
         {"order_value": F.sum("payment_value"), "installments": ratio(weighted, F.sum("payment_value"))},
     )
+    valued = checkpointed(valued.select("order_value", "installments"))  # averaged and ranked
     people = orders_per_person(eligible, customers).agg(
         F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("total_orders"),
         F.count(F.lit(1)).alias("unique_customers"),

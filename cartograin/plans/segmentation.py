@@ -20,6 +20,7 @@ from ..operators.joins import with_scalar
 from ..operators.quality import DataQualityError
 from ..operators.ranking import exact_quantiles, quantile_bin, sample_exact, share_of_total
 from ..operators.statistics import minmax, top_values_joined
+from ..session import checkpointed
 
 RFM = ("recency", "frequency", "monetary")
 PERSON = "customer_unique_id"
@@ -316,10 +317,10 @@ class TrainedSegments:
 
 
 def train(rfm: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 20, seed: int = 42) -> TrainedSegments:
-    segmented = rfm_segment(rfm_scores(rfm)).persist()
+    segmented = checkpointed(rfm_segment(rfm_scores(rfm)))
     results, models = evaluate_k(segmented, ks, restarts, seed)
     k = select_k(results)
-    clustered = models[k].transform(segmented).select(*segmented.columns, "cluster_id")
+    clustered = checkpointed(models[k].transform(segmented).select(*segmented.columns, "cluster_id"))
     profiles = cluster_profiles(clustered)
     names = cluster_names(profiles)
     return TrainedSegments(
