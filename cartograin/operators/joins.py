@@ -60,7 +60,8 @@ def lookup_join(
     heavy_from: DataFrame | None = None,
     bounded_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Many-to-one equi join; ``right`` must be unique on ``on``.
+    """Many-to-one equi join; ``right`` must be unique on ``on`` (for semi and
+    anti joins it need not be).
 
     ``heavy_from`` names the stored table whose key column tells which keys are
     heavy (the left side itself, or the table it was derived from, so that no
@@ -138,7 +139,8 @@ def assemble_row(*one_row_frames: DataFrame) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent row; a NULL key is an orphan."""
-    return child.join(parent.select(F.col(parent_key or key).alias(key)), key, "left_anti")
+    known = parent.select(F.col(parent_key or key).alias(key))
+    return lookup_join(child, known, key, "left_anti", heavy_from=child)
 
 
 def star_join(
@@ -148,7 +150,7 @@ def star_join(
     translation: DataFrame,
 ) -> DataFrame:
     """Items with their order, product and (optional) translated category."""
-    catalogue = products.join(translation, "product_category_name", "left")
+    catalogue = lookup_join(products, translation, "product_category_name", "left", heavy_from=products)
     by_order = lookup_join(items, orders, "order_id", heavy_from=items)
     return lookup_join(by_order, catalogue, "product_id", heavy_from=items, bounded_by=products)
 
@@ -156,17 +158,29 @@ def star_join(
 def shift_self_join(
     df: DataFrame,
     month: str,
-    months: int,
+    shifts: Mapping[str, int],
     columns: Sequence[str],
-    suffix: str,
 ) -> DataFrame:
-    """Attach ``columns`` of the row ``months`` earlier; NULL when that month is
-    absent (unlike ``lag``, which would silently take the row before a gap)."""
-    earlier = df.select(
-        F.add_months(F.col(month), months).alias(month),
-        *[F.col(name).alias(f"{name}{suffix}") for name in columns],
-    )
-    return df.join(earlier, month, "left")
+    """Attach ``columns`` of the row some months earlier, one set per suffix in
+    ``shifts``; NULL when that month is absent (unlike ``lag``, which would
+    silently take the row before a gap). ``month`` must be unique.
+
+    Every row is sent to its own month and to the months that look back at it,
+    and one aggregation brings them together: ``df`` is evaluated once, where a
+    self-join would evaluate it once per side.
+    """
+    targets = [F.struct(F.lit("").alias("s"), F.col(month).alias("m"))]
+    targets += [F.struct(F.lit(s).alias("s"), F.add_months(F.col(month), n).alias("m")) for s, n in shifts.items()]
+    sent = df.select(F.explode(F.array(*targets)).alias("_to"), *[c for c in df.columns if c != month])
+
+    def of(suffix: str, name: str) -> Column:
+        return F.max(F.when(F.col("_to.s") == suffix, F.col(name))).alias(f"{name}{suffix}")
+
+    kept = [of("", name) for name in df.columns if name != month]
+    earlier = [of(suffix, name) for suffix in shifts for name in columns]
+    present = F.max(F.col("_to.s") == "").alias("_here")
+    met = sent.groupBy(F.col("_to.m").alias(month)).agg(present, *kept, *earlier)
+    return met.filter("_here").drop("_here")
 
 
 def dominant_value(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
-from .joins import assemble_row, orphans, union_all
+from .joins import assemble_row, union_all
 from .ranking import exact_quantiles
 
 
@@ -62,7 +62,7 @@ def orphan_counts(checks: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> Dat
     parts = []
     for name, (child, parent, key) in checks.items():
         per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        lost = orphans(per_key, parent, key)
+        lost = per_key.join(parent.select(key), key, "left_anti")
         parts.append(lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name)))
     return assemble_row(*parts)
 

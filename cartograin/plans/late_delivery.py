@@ -131,7 +131,7 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
     one per counted value, all are combined on the map side, and a second
     aggregation folds them per order.
     """
-    catalogue = products.join(translation, "product_category_name", "left").select(
+    catalogue = lookup_join(products, translation, "product_category_name", "left", heavy_from=products).select(
         "product_id",
         category_label().alias("category"),
         "product_weight_g",

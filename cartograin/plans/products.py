@@ -17,7 +17,7 @@ def eligible_items(items: DataFrame, orders: DataFrame, rules: StatusRules = DEF
 
 
 def labelled_products(products: DataFrame, translation: DataFrame) -> DataFrame:
-    joined = products.join(translation, "product_category_name", "left")
+    joined = lookup_join(products, translation, "product_category_name", "left", heavy_from=products)
     return joined.select("product_id", category_label().alias("category"))
 
 
@@ -37,7 +37,7 @@ def product_totals(
             F.count(F.lit(1)).alias("items_sold"),
         )
     )
-    return sold.join(labelled_products(products, translation), "product_id")
+    return lookup_join(sold, labelled_products(products, translation), "product_id", bounded_by=products)
 
 
 def category_sales(
@@ -109,7 +109,7 @@ def category_reviews(
     items: DataFrame, products: DataFrame, reviews: DataFrame, translation: DataFrame, min_items: int = 100
 ) -> DataFrame:
     per_product = reviewed_items(items, reviews, "product_id")
-    labelled = per_product.join(labelled_products(products, translation), "product_id")
+    labelled = lookup_join(per_product, labelled_products(products, translation), "product_id", bounded_by=products)
     grouped = labelled.groupBy("category").agg(
         F.sum("reviewed_items").alias("reviewed_items"),
         F.round(ratio(F.sum("score_sum"), F.sum("scored")), 3).alias("average_review_score"),
@@ -128,7 +128,7 @@ def seller_totals(items: DataFrame, orders: DataFrame, rules: StatusRules = DEFA
     )
     keep = orders.filter(is_eligible(rules)).select("order_id")
     return (
-        lookup_join(pairs, keep, "order_id")
+        lookup_join(pairs, keep, "order_id", heavy_from=items)
         .groupBy("seller_id")
         .agg(
             F.sum("price").alias("revenue"),

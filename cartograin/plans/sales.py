@@ -103,13 +103,7 @@ def monthly_sales_growth(
     """Growth against the calendar month and year before, only where both months
     have ``min_orders`` orders; a missing month gives NULL."""
     monthly = monthly_totals(paid_orders(orders, payments, rules))
-    compared = shift_self_join(monthly, "month", 1, ["orders", "revenue"], "_month_ago")
-    earlier = monthly.select(
-        F.add_months("month", 12).alias("month"),
-        F.col("orders").alias("orders_year_ago"),
-        F.col("revenue").alias("revenue_year_ago"),
-    )
-    compared = compared.join(earlier, "month", "left")
+    compared = shift_self_join(monthly, "month", {"_month_ago": 1, "_year_ago": 12}, ["orders", "revenue"])
 
     def growth(suffix: str):
         enough = (F.col("orders") >= min_orders) & (F.col(f"orders{suffix}") >= min_orders)

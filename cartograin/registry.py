@@ -312,9 +312,7 @@ def _(r):
 def _(r):
     monthly = r.orders.groupBy(X.month_start("order_purchase_timestamp").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
     kept = monthly.filter(F.month("month") != 6)
-    shifted = joins.shift_self_join(kept, "month", 1, ["orders"], "_month_ago")
-    earlier = joins.shift_self_join(kept, "month", 12, ["orders"], "_year_ago").select("month", "orders_year_ago")
-    return shifted.join(earlier, "month")
+    return joins.shift_self_join(kept, "month", {"_month_ago": 1, "_year_ago": 12}, ["orders"])
 
 
 @query("d6_with_scalar")
@@ -808,7 +806,9 @@ def _(r):
 
 @query("h3_dominant_value")
 def _(r):
-    detail = joins.lookup_join(r.order_items, products.labelled_products(r.products, r.translation), "product_id", heavy_from=r.order_items)
+    detail = joins.lookup_join(
+        r.order_items, products.labelled_products(r.products, r.translation), "product_id", heavy_from=r.order_items, bounded_by=r.products
+    )
     return joins.dominant_value(detail, "order_id", "category")
 
 

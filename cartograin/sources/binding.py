@@ -101,17 +101,18 @@ class Roles:
         """Orders with delivered and promised timestamps: delivered is the first
         ship date not before the purchase."""
         orders = self.orders
-        lines = self.table("lineitem").select(F.col("l_orderkey").alias("order_id"), "l_shipdate")
+        # One row per order and date: bounded by the calendar even for a hot order.
         dates = (
-            lines.groupBy("order_id", "l_shipdate")
-            .agg(F.count(F.lit(1)))
-            .join(orders.select("order_id", "order_purchase_timestamp"), "order_id")
-            .filter("l_shipdate >= order_purchase_timestamp")
-            .groupBy("order_id")
-            .agg(F.min("l_shipdate").alias("order_delivered_customer_date"))
+            self.table("lineitem")
+            .groupBy(F.col("l_orderkey").alias("order_id"), "l_shipdate")
+            .agg(F.count(F.lit(1)).alias("_n"))
         )
-        return orders.join(dates, "order_id", "left").withColumn(
-            "order_estimated_delivery_date", F.expr(f"order_purchase_timestamp + {DELIVERY_PROMISE}")
+        later = F.when(F.col("l_shipdate") >= F.col("order_purchase_timestamp"), F.col("l_shipdate"))
+        return (
+            orders.join(dates, "order_id", "left")
+            .groupBy(*orders.columns)
+            .agg(F.min(later).alias("order_delivered_customer_date"))
+            .withColumn("order_estimated_delivery_date", F.expr(f"order_purchase_timestamp + {DELIVERY_PROMISE}"))
         )
 
     @cached_property

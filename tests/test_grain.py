@@ -126,4 +126,4 @@ def test_orphans_and_shifted_months(spark):
     parent = spark.createDataFrame([(1,)], "k int")
     assert sorted(map(str, rows(joins.orphans(child, parent, "k")))) == ["(2,)", "(None,)"]
     monthly = spark.createDataFrame([(date(2020, 1, 1), 10), (date(2020, 3, 1), 30)], "month date, n int")
-    assert rows(joins.shift_self_join(monthly, "month", 1, ["n"], "_ago"), "month") == [(date(2020, 1, 1), 10, None), (date(2020, 3, 1), 30, None)]
+    assert rows(joins.shift_self_join(monthly, "month", {"_ago": 1}, ["n"]), "month") == [(date(2020, 1, 1), 10, None), (date(2020, 3, 1), 30, None)]
