@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..session import checkpointed
 from .joins import assemble_row, union_all
-from .ranking import exact_quantiles
+from .ranking import column_quantiles
 
 
 class DataQualityError(ValueError):
@@ -118,7 +118,9 @@ def describe_stats(df: DataFrame, columns: Sequence[str], percentiles: Sequence[
     """Per numeric column: count, mean, std, min, percentiles, max, and skewness
     with the small-sample correction."""
     parts = []
-    df = checkpointed(df.select(*columns))  # read twice per column below
+    df = checkpointed(df.select(*columns))  # read once per column below
+    names = {f"p{q * 100:g}".replace(".", "_"): q for q in percentiles}
+    places = checkpointed(column_quantiles(df, columns, names))
     for name in columns:
         value = F.col(name).cast("double")
         n = F.count(value).cast("double")
@@ -131,9 +133,8 @@ def describe_stats(df: DataFrame, columns: Sequence[str], percentiles: Sequence[
             F.max(value).alias("max"),
             skew.alias("skewness"),
         )
-        names = {f"p{q * 100:g}".replace(".", "_"): q for q in percentiles}
-        places = exact_quantiles(df.select(value.alias(name)), name, names)
-        parts.append(assemble_row(basics, places).withColumn("column", F.lit(name)))
+        own = places.select(*[F.col(f"{name}_{p}").alias(p) for p in names])
+        parts.append(assemble_row(basics, own).withColumn("column", F.lit(name)))
     return union_all(*parts)
 
 

@@ -19,6 +19,8 @@ from ..session import checkpointed
 from .joins import lookup_join, with_scalar
 
 _POSITION_BITS = 33
+# A table of group sizes is broadcast up to this many (counted) rows.
+BROADCAST_GROUPS = 10_000
 
 
 def _column(value: Column | str) -> Column:
@@ -105,7 +107,9 @@ def exact_quantiles(
     counts = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     running = running_totals(counts, [value], {"_upto": "_n"}, within=by)
     sizes = running.groupBy(*by).agg(F.max("_upto").alias("_size"))
-    if by:
+    if by and sizes.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        placed = running.join(F.broadcast(sizes), list(by))
+    elif by:
         placed = lookup_join(running, sizes, list(by), heavy_from=running)
     else:
         placed = with_scalar(running, sizes)
@@ -125,6 +129,26 @@ def exact_quantiles(
     return found.select(*by, *result)
 
 
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float], approximate: bool = False
+) -> DataFrame:
+    """Quantiles of several columns in one row, ``<column>_<name>`` each; the
+    columns are stacked, so they share one pass and one sort."""
+    if len(columns) == 1:
+        single = exact_quantiles(df, columns[0], quantiles, approximate=approximate)
+        return single.select(*[F.col(q).alias(f"{columns[0]}_{q}") for q in quantiles])
+    stacked = F.array(*[F.struct(F.lit(i).alias("c"), F.col(name).cast("double").alias("v")) for i, name in enumerate(columns)])
+    long = df.select(F.explode(stacked).alias("_e")).select(F.col("_e.c").alias("_column"), F.col("_e.v").alias("_value"))
+    found = exact_quantiles(long, "_value", quantiles, by=["_column"], approximate=approximate)
+    return found.agg(
+        *[
+            F.max(F.when(F.col("_column") == i, F.col(q))).alias(f"{name}_{q}")
+            for i, name in enumerate(columns)
+            for q in quantiles
+        ]
+    )
+
+
 def quantile_bin(
     df: DataFrame,
     value: str,

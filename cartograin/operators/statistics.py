@@ -11,21 +11,18 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 from .joins import lookup_join, with_scalar
-from .ranking import exact_quantiles, running_totals
+from .ranking import column_quantiles, exact_quantiles, running_totals
 
 
 def percentile_cap(df: DataFrame, columns: Sequence[str], q: float = 0.99, approximate: bool = False) -> DataFrame:
     """Rows at or below the ``q`` quantile of every listed column (each quantile
     over the whole frame); a NULL never passes."""
-    limits = [
-        exact_quantiles(df, name, {f"_cap{i}": q}, approximate=approximate) for i, name in enumerate(columns)
-    ]
-    capped = df
-    for limit in limits:
-        capped = with_scalar(capped, limit)
+    limits = column_quantiles(df, columns, {"cap": q}, approximate)
+    renamed = limits.select(*[F.col(f"{name}_cap").alias(f"_cap{i}") for i, name in enumerate(columns)])
+    capped = with_scalar(df, renamed)
     for i, name in enumerate(columns):
         capped = capped.filter(F.col(name).cast("double") <= F.col(f"_cap{i}"))
-    return capped.drop(*[f"_cap{i}" for i in range(len(columns))])
+    return capped.drop(*renamed.columns)
 
 
 def histogram(df: DataFrame, column: str, bins: int, cap: float | None = None) -> DataFrame:
@@ -101,12 +98,19 @@ def pearson(df: DataFrame, x: str, y: str, name: str = "pearson") -> DataFrame:
     return df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(name))
 
 
-def average_ranks(df: DataFrame, column: str, rank: str) -> DataFrame:
-    """One row per distinct value with the mean rank of its rows. ``df`` holds
-    weighted values: columns ``column`` and ``n``."""
-    counts = df.groupBy(column).agg(F.sum("n").alias("_n"))
-    upto = running_totals(counts, [column], {"_upto": "_n"})
-    return upto.select(column, (F.col("_upto") - (F.col("_n") - 1) / F.lit(2.0)).alias(rank))
+def average_ranks(pairs: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """For each column of the counted ``pairs`` (count ``n``): one row per
+    distinct value with the mean rank ``<column>_rank`` of its rows. All columns
+    share one sort."""
+    stacked = F.array(*[F.struct(F.lit(i).alias("c"), F.col(name).alias("v")) for i, name in enumerate(columns)])
+    long = pairs.select(F.explode(stacked).alias("_e"), "n").select("_e.c", "_e.v", "n")
+    counts = long.groupBy("c", "v").agg(F.sum("n").alias("_n"))
+    upto = running_totals(counts, ["v"], {"_upto": "_n"}, within=["c"])
+    mean_rank = F.col("_upto") - (F.col("_n") - 1) / F.lit(2.0)
+    return {
+        name: upto.filter(F.col("c") == i).select(F.col("v").alias(name), mean_rank.alias(f"{name}_rank"))
+        for i, name in enumerate(columns)
+    }
 
 
 def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame:
@@ -115,14 +119,15 @@ def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame
     The rows become counted (x, y) pairs first. The ranks are unique per value,
     and a value with a large share of the pairs is spread over several tasks.
     """
-    present = df.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna()
-    # Read six times below, so written once.
+    present = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna()
+    # Read several times below, so written once.
     pairs = checkpointed(present.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("n")))
-    ranked = lookup_join(pairs, average_ranks(pairs, "_x", "_rx"), "_x", heavy_from=pairs)
-    ranked = lookup_join(ranked, average_ranks(pairs, "_y", "_ry"), "_y", heavy_from=pairs)
+    ranks = average_ranks(pairs, ["_x", "_y"])
+    ranked = lookup_join(pairs, ranks["_x"], "_x", heavy_from=pairs)
+    ranked = lookup_join(ranked, ranks["_y"], "_y", heavy_from=pairs)
     # Ranks average (N + 1) / 2 in each column; centred sums keep precision.
     size = pairs.agg(((F.sum("n") + 1) / F.lit(2.0)).alias("_mid"))
-    dx, dy = F.col("_rx") - F.col("_mid"), F.col("_ry") - F.col("_mid")
+    dx, dy = F.col("_x_rank") - F.col("_mid"), F.col("_y_rank") - F.col("_mid")
     sums = with_scalar(ranked, size).agg(
         F.sum(F.col("n") * dx * dy).alias("xy"), F.sum(F.col("n") * dx * dx).alias("xx"), F.sum(F.col("n") * dy * dy).alias("yy")
     )

@@ -220,10 +220,14 @@ def cluster_profiles(clustered: DataFrame) -> DataFrame:
         F.sum("monetary").cast("double").alias("total_revenue"),
         F.avg((F.col("frequency") > 1).cast("int")).alias("repeat_customer_rate"),
     )
-    for measure in RFM:
-        basics = basics.join(
-            exact_quantiles(clustered, measure, {f"median_{measure}": 0.5}, by=["cluster_id"]), "cluster_id", "left"
-        )
+    # The three measures are stacked, so their medians share one sort.
+    stacked = F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).cast("double").alias("v")) for m in RFM])
+    long = clustered.select("cluster_id", F.explode(stacked).alias("_e")).select("cluster_id", "_e.m", "_e.v")
+    middles = exact_quantiles(long, "v", {"median": 0.5}, by=["cluster_id", "m"])
+    medians = middles.groupBy("cluster_id").agg(
+        *[F.max(F.when(F.col("m") == m, F.col("median"))).alias(f"median_{m}") for m in RFM]
+    )
+    basics = basics.join(medians, "cluster_id", "left")
     states = top_values_joined(clustered, "cluster_id", "customer_state", 3, "top_customer_states")
     joined = with_scalar(basics.join(states, "cluster_id", "left"), everyone)
     return joined.select(
