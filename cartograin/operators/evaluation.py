@@ -14,15 +14,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ratio
-from .ranking import top_k
+from ..session import checkpointed
+from .ranking import running_totals, top_k
 from .statistics import histogram, quantile_band
 
 
 def score_table(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: ``pos`` and ``neg`` rows there, ``tp`` and ``fp`` rows
     at or above it."""
-    from .ranking import running_totals
-
     counts = df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
@@ -204,7 +203,21 @@ def error_summary(outcome: DataFrame, by: str | Sequence[str]) -> DataFrame:
 
 
 def grouped_error_analysis(df: DataFrame, label: str, score: str, threshold: float) -> dict[str, DataFrame]:
-    outcome = with_outcome(df, label, score, threshold)
+    """Tables by state, value band, category and month, and the first mistakes.
+    The scored rows are read once per table, so they are written once."""
+    outcome = checkpointed(
+        with_outcome(df, label, score, threshold).select(
+            "order_id",
+            "purchase_timestamp",
+            "purchase_month",
+            "customer_state",
+            "dominant_product_category",
+            "item_value",
+            "actual",
+            "predicted",
+            "error_type",
+        )
+    )
     banded = quantile_band(outcome, "item_value", 4, "value_band")
     mistakes = outcome.filter(F.col("error_type") != "correct").select(
         "order_id",
