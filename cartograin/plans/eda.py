@@ -24,12 +24,13 @@ from ..functions.expressions import (
     month_start,
     ratio,
 )
-from ..operators.joins import assemble_row, lookup_join
+from ..operators.joins import assemble_row, lookup_join, with_scalar
 from ..operators.ranking import exact_quantiles, head_tail, top_k
 from ..operators.statistics import hexbin, pearson, spearman, value_counts
 from ..operators.timeseries import rolling_mean
 from ..session import checkpointed
 from .products import order_scores
+from .validation import anomaly_counts
 
 
 def eligible(dataset: DataFrame, rules: StatusRules = DEFAULT_RULES) -> DataFrame:
@@ -222,8 +223,6 @@ def eda_metrics(
     datasets: dict[str, DataFrame], states: Sequence[str], rules: StatusRules = DEFAULT_RULES, min_orders: int = 100
 ) -> DataFrame:
     """All named figures as (metric, value) text rows, one per metric."""
-    from .validation import anomaly_counts
-
     # Each dataset is read many times below: its columns are written once.
     orders_ds = checkpointed(datasets["orders"].select(*METRIC_COLUMNS))
     reviews_ds = checkpointed(datasets["reviews"].select("review_score", "delivery_delay_days"))
@@ -309,8 +308,6 @@ def rolling_means(daily: DataFrame, widths: Sequence[int] = (7, 30)) -> DataFram
 
 def spikes(daily: DataFrame, deviations: float = 3.0) -> DataFrame:
     """Days above mean + k sample deviations, counted per measure."""
-    from ..operators.joins import with_scalar
-
     measures = ("daily_orders", "daily_revenue")
     value = {c: F.col(c).cast("double") for c in measures}
     limits = daily.agg(*[(F.avg(value[c]) + deviations * F.stddev_samp(value[c])).alias(f"_limit_{c}") for c in measures])

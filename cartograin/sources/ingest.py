@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -98,8 +98,6 @@ def reload_tables(
 ) -> dict[str, int]:
     """Validate all sources, then replace every table; repeatable. Row counts
     are observed while writing, so nothing is read twice."""
-    from pyspark.sql import Observation
-
     tables = tuple(tables)
     paths = validate_sources(spark, source_folder, tables, filenames)
     written = {}
