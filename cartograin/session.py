@@ -42,20 +42,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. A temporary folder is used
-    only in local mode with the setting absent; on a cluster that would not
-    survive the loss of a node, so it is refused.
+    With the setting absent, a folder of this machine is set for a local master;
+    on a cluster that would not survive the loss of a node, so it is refused.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             configured = tempfile.mkdtemp(prefix="cartograin-checkpoint-")
         context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
