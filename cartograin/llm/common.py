@@ -47,16 +47,23 @@ def unit_hash(*columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def running_before(df: DataFrame, group: list[str], order: list[Column], amount: str, total: str) -> DataFrame:
+def ranges_for(rows: Column) -> Column:
+    """Number of ranges a group of so many rows is cut into by ``running_before``."""
+    return F.ceil(rows / F.lit(BUCKET_ROWS))
+
+
+def running_before(df: DataFrame, group: list[str], order: list[Column], amount: str, total: str, ranges: str | None = None) -> DataFrame:
     """Sum of ``amount`` over the rows of the group that come earlier, as column ``total``.
 
     ``order`` begins with a uniform number in [0, 1) (``unit_hash``). A group is cut
     into equal ranges of that number, about ``BUCKET_ROWS`` rows each; offsets of the
     ranges come from their sums, so a group of any size is spread over many tasks.
+    ``ranges`` names a column that already has the number of ranges (``ranges_for``).
     """
-    uniform = order[0]
-    counts = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(BUCKET_ROWS)).alias("_ranges"))
-    dealt = null_safe_join(df, counts, group).withColumn("_range", F.floor(uniform * F.col("_ranges")))
+    if ranges is None:
+        counts = df.groupBy(*group).agg(ranges_for(F.count(F.lit(1))).alias("_ranges"))
+        df, ranges = null_safe_join(df, counts, group), "_ranges"
+    dealt = df.withColumn("_range", F.floor(order[0] * F.col(ranges)))
     sums = dealt.groupBy(*group, "_range").agg(F.sum(amount).alias("_sum"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*group, "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
