@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .mixing import mix_report
 from .quality_rules import quality_rules
+from .sharding import shard_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,3 +28,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents")).drop("shards")
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents")).drop("old_shard")

@@ -35,8 +35,9 @@ class Mix:
 def sized(documents: DataFrame) -> DataFrame:
     """row (unique), doc_id, key, source, size (words); written once, so row numbers are fixed."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = documents.select("doc_id", row_key("doc_id", "source", "text").alias("key"), "source", size.alias("size"))
-    return staged(rows.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    number = F.col("_row") if "_row" in documents.columns else F.monotonically_increasing_id()
+    rows = documents.select(number.alias("row"), "doc_id", row_key("doc_id", "source", "text").alias("key"), "source", size.alias("size"))
+    return staged(rows, "mix-sizes")
 
 
 def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -206,19 +207,7 @@ def mix_report(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The rows of ``documents`` the mix takes, once per copy, columns unchanged."""
-    copies = mix_sources(documents, mix)[2].select("row", F.col("key").alias("_mix_key"))
-    counted = copies.groupBy("row", "_mix_key").agg(F.count(F.lit(1)).alias("n"))
-    # Identical rows share a key; the first of them take the larger counts.
-    kinds = counted.groupBy("_mix_key", "n").agg(F.count(F.lit(1)).alias("rows"))
-    listed = F.sort_array(F.collect_list(F.struct("n", "rows")), asc=False)
-    kinds = kinds.groupBy("_mix_key").agg(listed.alias("_mix_kinds"))
-    keyed = documents.withColumn("_mix_key", row_key("doc_id", "source", "text"))
-    keyed = keyed.withColumn("_mix_twin", F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(1))))
-    joined = keyed.join(kinds, "_mix_key")
-    step = F.aggregate(
-        "_mix_kinds",
-        F.struct(F.col("_mix_twin").cast("bigint").alias("left"), F.lit(0).cast("bigint").alias("n")),
-        lambda a, k: F.struct((a["left"] - k["rows"]).alias("left"), F.when((a["left"] > 0) & (a["left"] <= k["rows"]), k["n"]).otherwise(a["n"]).alias("n")),
-    )
-    joined = joined.withColumn("_mix_n", step["n"]).filter("_mix_n > 0")
-    return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int")))).select(*documents.columns)
+    base = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    copies = mix_sources(base, mix)[2].groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    joined = base.join(copies, "_row")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*documents.columns)
