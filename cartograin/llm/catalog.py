@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .licences import licence_scan
 from .mixing import mix_report
 from .quality_rules import quality_rules
 from .sharding import shard_report
@@ -33,3 +34,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents")).drop("old_shard")
+
+
+@query
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .licence_texts import LICENCES, NOTICES
+from .licences import BULLET, COPYRIGHT_LINE, PHRASES, WORDS
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE: dict[str, str] = {}
@@ -41,3 +44,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT (n_removed_words > 0 AND (n_words - n_removed_words < 20 OR 100 * (n_words - n_removed_words) < 30 * n_words)) AS kept
 FROM judged
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _phrased(form: str) -> str:
+    out = f"' ' || {form} || ' '"
+    for phrase, norm in PHRASES.items():
+        out = f"replace({out}, ' {phrase} ', ' {norm} ')"
+    return f"trim({out})"
+
+
+_RESPELLED = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in WORDS.items()) + "}"
+_BARE = (
+    f"replace(regexp_replace(lower(regexp_replace(regexp_replace(replace(text, chr(13), ''), {_quoted('(?im)' + COPYRIGHT_LINE)}, '', 'g'), "
+    f"{_quoted('(?m)' + BULLET)}, ' ', 'g')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10), ' ' || chr(10) || ' ')"
+)
+_LINED = _phrased(
+    f"array_to_string(list_transform(string_split_regex({_BARE}, ' +'), lambda w: coalesce(map_extract({_RESPELLED}, w)[1], w)), ' ')"
+)
+_WHOLE = _phrased("array_to_string(list_filter(string_split_regex(form, '[ \\n]+'), lambda w: w <> ''), ' ')")
+
+
+def _known(texts: list[tuple[str, str]]) -> str:
+    return "(VALUES " + ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in texts) + ") AS k(licence, text)"
+
+
+ORACLE["op10_licence_scan"] = f"""
+WITH lined AS (SELECT doc_id, {_LINED} AS form FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+whole AS (SELECT doc_id, form, sha256({_WHOLE}) AS digest FROM lined),
+licences AS (SELECT DISTINCT licence, sha256({_WHOLE}) AS digest FROM (SELECT licence, {_LINED} AS form FROM {_known(LICENCES)})),
+notices AS (SELECT DISTINCT licence, {_LINED} AS form FROM {_known(NOTICES)}),
+hits AS (
+  SELECT doc_id, array_to_string(list_sort(list(DISTINCT licence)), ',') AS notices
+  FROM (SELECT doc_id, trim(unnest(string_split(form, ' ' || chr(10) || ' '))) AS form FROM lined) JOIN notices USING (form) GROUP BY doc_id)
+SELECT w.doc_id, w.digest, l.licence, coalesce(h.notices, '') AS notices
+FROM whole w LEFT JOIN licences l USING (digest) LEFT JOIN hits h USING (doc_id)
+"""
