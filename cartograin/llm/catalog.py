@@ -13,6 +13,7 @@ from .licences import licence_scan
 from .mixing import mix_report
 from .quality_rules import quality_rules
 from .sharding import shard_report
+from .token_counts import Vocabulary, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,3 +49,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     return chat_digests(format_chats(turn_records(turns)))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json")))
