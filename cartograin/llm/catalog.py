@@ -13,6 +13,8 @@ from .licences import licence_scan
 from .mixing import mix_report
 from .quality_rules import quality_rules
 from .sharding import shard_report
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .token_counts import Vocabulary, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +58,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts(table(spark, sf_dir, "documents"), Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept")
