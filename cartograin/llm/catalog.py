@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .chat import chat_digests, format_chats, turn_records
 from .common import table
+from .decontamination import leaks
 from .licences import licence_scan
+from .minhash_dedup import minhash_dedup
 from .mixing import mix_report
 from .quality_rules import quality_rules
 from .sharding import shard_report
@@ -68,3 +70,20 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
