@@ -44,45 +44,35 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is within the broadcast limit, in
-    which case Spark broadcasts ``df`` by itself."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size <= limit
+_LOOKUPS = ("inner", "left", "left_semi", "left_anti")
 
 
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    heavy_from: DataFrame | None = None,
-    bounded_by: DataFrame | None = None,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Many-to-one equi join; ``right`` must be unique on ``on`` (for semi and
     anti joins it need not be).
 
-    ``heavy_from`` names the stored table whose key column tells which keys are
-    heavy (the left side itself, or the table it was derived from, so that no
-    join is run twice). The rows of heavy keys are dealt out over as many buckets
-    as they would fill partitions, and the single matching right row is repeated
-    once per bucket. The repeats are bounded by the number of shuffle partitions,
-    so nothing but the hot keys pays for it.
-
-    A right side small enough to be broadcast leaves the left side where it is,
-    so nothing needs spreading. ``bounded_by`` names a stored table that is no
-    smaller than ``right``, where ``right`` is a join whose size Spark cannot
-    estimate well.
+    How to join is left to adaptive execution, which knows the sizes of both
+    shuffled sides: a small right side is broadcast, and a partition that a heavy
+    key fills is split, since the left side decides every row by itself.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in _LOOKUPS:
         raise ValueError(f"unsupported join type: {how}")
-    if bounded_by is not None and fits_broadcast(bounded_by):
-        return left.join(F.broadcast(right), keys, how)
-    if heavy_from is None or fits_broadcast(right):
-        return left.join(right, keys, how)
+    return left.join(right, keys, how)
+
 
+def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], heavy_from: DataFrame, how: str = "inner") -> DataFrame:
+    """``lookup_join`` for a hot key that adaptive execution can't split, as when
+    the joined rows are aggregated without another shuffle.
+
+    ``heavy_from`` names the stored table whose key column tells which keys are
+    heavy. The rows of heavy keys are dealt out over as many buckets as they would
+    fill partitions, and the single matching right row is repeated once per
+    bucket. The repeats are bounded by the number of shuffle partitions.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if how not in _LOOKUPS:
+        raise ValueError(f"unsupported join type: {how}")
     heavy = F.broadcast(hot_keys(heavy_from, keys))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     # The map task's number is stable across retries and spreads exact copies too.
@@ -140,7 +130,7 @@ def assemble_row(*one_row_frames: DataFrame) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent row; a NULL key is an orphan."""
     known = parent.select(F.col(parent_key or key).alias(key))
-    return lookup_join(child, known, key, "left_anti", heavy_from=child)
+    return lookup_join(child, known, key, "left_anti")
 
 
 def star_join(
@@ -150,9 +140,9 @@ def star_join(
     translation: DataFrame,
 ) -> DataFrame:
     """Items with their order, product and (optional) translated category."""
-    catalogue = lookup_join(products, translation, "product_category_name", "left", heavy_from=products)
-    by_order = lookup_join(items, orders, "order_id", heavy_from=items)
-    return lookup_join(by_order, catalogue, "product_id", heavy_from=items, bounded_by=products)
+    catalogue = lookup_join(products, translation, "product_category_name", "left")
+    by_order = lookup_join(items, orders, "order_id")
+    return lookup_join(by_order, catalogue, "product_id")
 
 
 def shift_self_join(

@@ -28,7 +28,15 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def distinct_counts(columns: Mapping[str, tuple[DataFrame, str]], approximate: bool = False) -> DataFrame:
     """One row; each entry names an output column and the key it counts."""
     count = F.approx_count_distinct if approximate else F.countDistinct
-    return assemble_row(*[df.agg(count(F.col(key)).alias(name)) for name, (df, key) in columns.items()])
+    return _one_row({name: (df, count(F.col(key))) for name, (df, key) in columns.items()})
+
+
+def _one_row(measures: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """All measures in one row, in the given order; those of one frame share one aggregate."""
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for name, (df, measure) in measures.items():
+        frames.setdefault(id(df), (df, []))[1].append(measure.alias(name))
+    return assemble_row(*[df.agg(*wanted) for df, wanted in frames.values()]).select(*measures)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:
@@ -51,9 +59,7 @@ def duplicate_key_summary(checks: Mapping[str, tuple[DataFrame, Sequence[str]]])
 
 
 def null_counts(columns: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    return assemble_row(
-        *[df.agg(F.count_if(F.col(key).isNull()).alias(name)) for name, (df, key) in columns.items()]
-    )
+    return _one_row({name: (df, F.count_if(F.col(key).isNull())) for name, (df, key) in columns.items()})
 
 
 def orphan_counts(checks: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
@@ -78,7 +84,7 @@ def range_check(df: DataFrame, column: str, low: object, high: object) -> DataFr
 
 def conditional_counts(counts: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
     """One row; each entry counts the rows of a frame that meet a condition."""
-    return assemble_row(*[df.agg(F.count_if(condition).alias(name)) for name, (df, condition) in counts.items()])
+    return _one_row({name: (df, F.count_if(condition)) for name, (df, condition) in counts.items()})
 
 
 def quality_profile(datasets: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
@@ -117,25 +123,26 @@ def quality_profile(datasets: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
 def describe_stats(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Per numeric column: count, mean, std, min, percentiles, max, and skewness
     with the small-sample correction."""
-    parts = []
-    df = checkpointed(df.select(*columns))  # read once per column below
     names = {f"p{q * 100:g}".replace(".", "_"): q for q in percentiles}
-    places = checkpointed(column_quantiles(df, columns, names))
+    measures = []
     for name in columns:
         value = F.col(name).cast("double")
         n = F.count(value).cast("double")
-        skew = F.skewness(value) * F.sqrt(n * (n - 1)) / F.when(n > 2, n - 2)
-        basics = df.agg(
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            skew.alias("skewness"),
+        measures.append(
+            F.struct(
+                F.count(value).alias("count"),
+                F.avg(value).alias("mean"),
+                F.stddev_samp(value).alias("std"),
+                F.min(value).alias("min"),
+                F.max(value).alias("max"),
+                (F.skewness(value) * F.sqrt(n * (n - 1)) / F.when(n > 2, n - 2)).alias("skewness"),
+            ).alias(f"_of_{name}")
         )
-        own = places.select(*[F.col(f"{name}_{p}").alias(p) for p in names])
-        parts.append(assemble_row(basics, own).withColumn("column", F.lit(name)))
-    return union_all(*parts)
+    both = assemble_row(df.agg(*measures), column_quantiles(df, columns, names))
+    lines = [
+        F.struct(f"_of_{name}.*", *[F.col(f"{name}_{p}").alias(p) for p in names], F.lit(name).alias("column")) for name in columns
+    ]
+    return both.select(F.inline(F.array(*lines)))
 
 
 def _first_match(df: DataFrame, condition: Column) -> bool:
@@ -179,25 +186,40 @@ def reconcile(actual: DataFrame, expected: DataFrame, column: str, tolerance: fl
     return gap
 
 
-def audit_features(
-    df: DataFrame,
-    features: Sequence[str],
-    rationale: Mapping[str, str],
-    prohibited: Sequence[str],
-) -> DataFrame:
-    """Refuse leaking, unexplained or absent features; return the audit table."""
+def refuse_features(df: DataFrame, features: Sequence[str], source: Mapping[str, str], prohibited: Sequence[str]) -> None:
+    """Raises on features that leak, have no stated source or are absent."""
     chosen = set(features)
     problems = {
         "leakage": sorted(chosen & set(prohibited)),
-        "undocumented": sorted(chosen - set(rationale)),
+        "undocumented": sorted(chosen - set(source)),
         "missing": sorted(chosen - set(df.columns)),
     }
     if any(problems.values()):
         raise DataQualityError(f"feature audit failed: {problems}")
-    rows = [(feature, True, rationale[feature]) for feature in features]
-    return df.sparkSession.createDataFrame(
-        rows, "feature string, available_at_prediction_time boolean, rationale string"
+
+
+def audit_features(df: DataFrame, features: Sequence[str], source: Mapping[str, str], prohibited: Sequence[str]) -> DataFrame:
+    """Per feature: source table, rows, nulls, distinct values, and whether it is
+    known at prediction time; one aggregate over the rows. Refused features
+    raise before any row is read."""
+    refuse_features(df, features, source, prohibited)
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(f).alias(f"_held_{f}") for f in features],
+        *[F.count_distinct(f).alias(f"_distinct_{f}") for f in features],
     )
+    lines = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            F.lit(source[f]).alias("source"),
+            F.col("_rows").alias("rows"),
+            (F.col("_rows") - F.col(f"_held_{f}")).alias("nulls"),
+            F.col(f"_distinct_{f}").alias("distinct_values"),
+            F.lit(f not in prohibited).alias("available_at_prediction_time"),
+        )
+        for f in features
+    ]
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def rejected_reasons(rules: Mapping[str, Column]) -> Column:

@@ -110,7 +110,7 @@ def exact_quantiles(
     if by and sizes.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
         placed = running.join(F.broadcast(sizes), list(by))
     elif by:
-        placed = lookup_join(running, sizes, list(by), heavy_from=running)
+        placed = lookup_join(running, sizes, list(by))
     else:
         placed = with_scalar(running, sizes)
     number = F.col(value).cast("double")

@@ -123,8 +123,8 @@ def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame
     # Read several times below, so written once.
     pairs = checkpointed(present.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("n")))
     ranks = average_ranks(pairs, ["_x", "_y"])
-    ranked = lookup_join(pairs, ranks["_x"], "_x", heavy_from=pairs)
-    ranked = lookup_join(ranked, ranks["_y"], "_y", heavy_from=pairs)
+    ranked = lookup_join(pairs, ranks["_x"], "_x")
+    ranked = lookup_join(ranked, ranks["_y"], "_y")
     # Ranks average (N + 1) / 2 in each column; centred sums keep precision.
     size = pairs.agg(((F.sum("n") + 1) / F.lit(2.0)).alias("_mid"))
     dx, dy = F.col("_x_rank") - F.col("_mid"), F.col("_y_rank") - F.col("_mid")

@@ -32,7 +32,7 @@ ORDER_COLUMNS = {
 def orders_dataset(orders: DataFrame, customers: DataFrame, payments: DataFrame, items: DataFrame) -> DataFrame:
     """Order grain; payments and freight are summed per order first. Timestamps
     the source lacks are left out."""
-    located = lookup_join(orders, customers, "customer_id", heavy_from=orders)
+    located = lookup_join(orders, customers, "customer_id")
     paid = join_at_grain(
         located,
         payments,
@@ -91,7 +91,7 @@ def reviews_dataset(reviews: DataFrame, orders: DataFrame, rules: StatusRules =
         delivery_status(rules).alias("delivery_status"),
         F.when(is_delivered(rules), delay).alias("delivery_delay_days"),
     )
-    joined = lookup_join(reviews, outcome, "order_id", heavy_from=reviews)
+    joined = lookup_join(reviews, outcome, "order_id")
     return joined.select(
         "review_id",
         "order_id",

@@ -326,7 +326,10 @@ def train(
     models: Sequence[str] = MODELS,
     settings: ForecastSettings = ForecastSettings(),
 ) -> TrainedForecast:
-    """Backtest, choose, evaluate on the holdout and refit, for each target."""
+    """Backtest, choose, evaluate on the holdout and refit, for each target.
+
+    The series is written once; every fold and fit reads that."""
+    series = checkpointed(series.filter(F.col(SERIES).isin(*targets)))
     selected, artifacts, collected = {}, {}, {"comparison": [], "holdout": [], "residuals": [], "spread": []}
     for target in targets:
         one = series.filter(F.col(SERIES) == target)

@@ -9,7 +9,6 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     ElementwiseProduct,
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
@@ -43,9 +42,11 @@ from ..operators.evaluation import (
     threshold_table,
 )
 from ..operators.joins import lookup_join
-from ..operators.quality import assert_domain, assert_grain, audit_features
-from ..operators.ranking import sample_exact, temporal_split, top_k
+from ..operators.quality import assert_domain, assert_grain, audit_features, refuse_features
+from ..operators.ranking import column_quantiles, distributed_rank, sample_exact, temporal_split, top_k
+from ..session import checkpointed
 
+# Fixed lists: the feature names.
 NUMERIC = (
     "purchase_month",
     "purchase_day_of_week",
@@ -90,34 +91,23 @@ PROHIBITED = (
     TARGET,
 )
 
-_AT_PURCHASE = "fixed by the purchase timestamp"
-_BASKET = "basket content, complete when the order is placed"
-_CATALOGUE = "catalogue data, recorded before the order"
-_PLACE = "address on file at checkout"
-_PAYMENT = "chosen at checkout"
-RATIONALE = {
-    "purchase_month": _AT_PURCHASE,
-    "purchase_day_of_week": _AT_PURCHASE,
-    "purchase_hour": _AT_PURCHASE,
-    "customer_state": _PLACE,
-    "customer_zip_region": _PLACE,
-    "item_value": _BASKET,
-    "freight_value": "freight quoted with the basket",
-    "item_count": _BASKET,
-    "unique_products": _BASKET,
-    "seller_count": _BASKET,
-    "total_product_weight_g": _CATALOGUE,
-    "average_product_length_cm": _CATALOGUE,
-    "average_product_height_cm": _CATALOGUE,
-    "average_product_width_cm": _CATALOGUE,
-    "dominant_product_category": _CATALOGUE,
-    "dominant_seller_state": "seller registration, known before the order",
-    "same_customer_seller_state": "follows from the two states",
-    "payment_type": _PAYMENT,
-    "payment_value": _PAYMENT,
-    "payment_installments": _PAYMENT,
-    "estimated_delivery_window_days": "promise shown to the buyer; holds no actual date",
+# The table whose columns a feature is computed from.
+ORIGIN = {
+    "orders": ("purchase_month", "purchase_day_of_week", "purchase_hour", "estimated_delivery_window_days"),
+    "customers": ("customer_state", "customer_zip_region"),
+    "order_items": ("item_value", "freight_value", "item_count", "unique_products", "seller_count"),
+    "products": (
+        "total_product_weight_g",
+        "average_product_length_cm",
+        "average_product_height_cm",
+        "average_product_width_cm",
+        "dominant_product_category",
+    ),
+    "sellers": ("dominant_seller_state",),
+    "customers, sellers": ("same_customer_seller_state",),
+    "payments": ("payment_type", "payment_value", "payment_installments"),
 }
+SOURCE = {feature: table for table, features in ORIGIN.items() for feature in features}
 
 
 # --- features -------------------------------------------------------------
@@ -131,7 +121,7 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
     one per counted value, all are combined on the map side, and a second
     aggregation folds them per order.
     """
-    catalogue = lookup_join(products, translation, "product_category_name", "left", heavy_from=products).select(
+    catalogue = lookup_join(products, translation, "product_category_name", "left").select(
         "product_id",
         category_label().alias("category"),
         "product_weight_g",
@@ -139,8 +129,8 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
         "product_height_cm",
         "product_width_cm",
     )
-    detail = lookup_join(items, catalogue, "product_id", heavy_from=items, bounded_by=products)
-    detail = lookup_join(detail, sellers.select("seller_id", "seller_state"), "seller_id", heavy_from=items)
+    detail = lookup_join(items, catalogue, "product_id")
+    detail = lookup_join(detail, sellers.select("seller_id", "seller_state"), "seller_id")
     sizes = ("length", "height", "width")
     measures = {
         "price": F.col("price"),
@@ -216,7 +206,7 @@ def modeling_dataset(tables: Mapping[str, DataFrame], rules: StatusRules = DEFAU
     people = tables["customers"].select(
         "customer_id", "customer_state", zip_region("customer_zip_code_prefix").alias("customer_zip_region")
     )
-    located = lookup_join(outcome, people, "customer_id", heavy_from=tables["orders"])
+    located = lookup_join(outcome, people, "customer_id")
     baskets = basket_features(
         tables["order_items"], tables["products"], tables["sellers"], tables["product_category_translation"]
     )
@@ -228,14 +218,14 @@ def modeling_dataset(tables: Mapping[str, DataFrame], rules: StatusRules = DEFAU
 
 def checked_dataset(dataset: DataFrame) -> DataFrame:
     """Raises on a repeated order, a target outside {0, 1} or a leaking feature."""
+    refuse_features(dataset, FEATURES, SOURCE, PROHIBITED)
     assert_grain(dataset, [KEY])
     assert_domain(dataset, {"target is 0 or 1": F.col(TARGET).isin(0, 1)})
-    audit_features(dataset, FEATURES, RATIONALE, PROHIBITED)
     return dataset
 
 
 def feature_audit(dataset: DataFrame) -> DataFrame:
-    return audit_features(dataset, FEATURES, RATIONALE, PROHIBITED)
+    return audit_features(dataset, FEATURES, SOURCE, PROHIBITED)
 
 
 def split_dataset(dataset: DataFrame) -> DataFrame:
@@ -270,23 +260,18 @@ class CandidateSettings:
     seed: int = 42
 
 
-def build_preprocessor(train: DataFrame, scale_numeric: bool, median_error: float = 0.001) -> list:
+def build_preprocessor(train: DataFrame, scale_numeric: bool) -> list:
     """Stages: median and mode imputation, one-hot encoding in which a category
     unseen in training becomes all zeros, and optional standardisation with the
-    population deviation."""
-    doubles = ", ".join(f"cast({c} AS double) AS n_{c}" for c in NUMERIC)
+    population deviation. Medians are exact, whatever the number of rows."""
     row = train.agg(
         F.count(F.lit(1)).alias("_n"), *[F.mode(c, deterministic=True).alias(c) for c in CATEGORICAL]
     ).first()
+    middles = column_quantiles(train, NUMERIC, {"median": 0.5}).first()
+    doubles = ", ".join(f"coalesce(cast({c} AS double), {float(middles[f'{c}_median'] or 0.0)!r}D) AS f_{c}" for c in NUMERIC)
     filled = ", ".join(f"coalesce({c}, '{_quoted(row[c])}') AS c_{c}" for c in CATEGORICAL)
     stages = [
         SQLTransformer(statement=f"SELECT *, {doubles}, {filled} FROM __THIS__"),
-        Imputer(
-            strategy="median",
-            inputCols=[f"n_{c}" for c in NUMERIC],
-            outputCols=[f"f_{c}" for c in NUMERIC],
-            relativeError=median_error,
-        ),
         StringIndexer(
             inputCols=[f"c_{c}" for c in CATEGORICAL],
             outputCols=[f"i_{c}" for c in CATEGORICAL],
@@ -417,21 +402,22 @@ def select_model(comparison: DataFrame) -> DataFrame:
 
 
 def permutation_importance(
-    model: Transformer, df: DataFrame, repeats: int = 3, sample: int = 10_000, seed: int = 42
+    model: Transformer, df: DataFrame, repeats: int = 3, sample: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Loss of average precision when one raw feature is shuffled, on at most
-    ``sample`` rows.
+    """Loss of average precision when one raw feature is shuffled, on all rows
+    (or on ``sample`` of them).
 
-    Every (feature, repeat) variant of the sample is scored in one transform: a
-    row takes the shuffled feature from the row at its place in a seeded order.
+    Every (feature, repeat) variant is scored in one transform: a row takes the
+    shuffled feature from the row at its place in a seeded order. Places come
+    from range partitions, so no task numbers all rows.
     """
-    rows = sample_exact(df, KEY, sample, seed).select(KEY, TARGET, *FEATURES)
-    here = F.row_number().over(W.orderBy(KEY))  # at most ``sample`` rows
-    numbered = rows.withColumn("_here", here).persist()
+    chosen = df if sample is None else sample_exact(df, KEY, sample, seed)
+    rows = checkpointed(chosen.select(KEY, TARGET, *FEATURES))
+    numbered = distributed_rank(rows, [KEY], "_here")
     donors = None
     for repeat in range(repeats):
-        there = F.row_number().over(W.orderBy(F.xxhash64(KEY, F.lit(seed + repeat + 1)), KEY))
-        one = numbered.select(there.alias("_here"), F.lit(repeat).alias("repeat"), F.struct(*FEATURES).alias("_other"))
+        shuffled = rows.select(F.xxhash64(KEY, F.lit(seed + repeat + 1)).alias("_order"), KEY, F.struct(*FEATURES).alias("_other"))
+        one = distributed_rank(shuffled, ["_order", KEY], "_here").select("_here", F.lit(repeat).alias("repeat"), "_other")
         donors = one if donors is None else donors.unionByName(one)
     variants = numbered.join(donors, "_here").withColumn("feature", F.explode(F.array(*[F.lit(f) for f in FEATURES])))
     swapped = variants.select(
@@ -476,12 +462,29 @@ class TrainedClassifier:
     thresholds: DataFrame
     test_metrics: DataFrame
     errors: dict[str, DataFrame]
+    importance: DataFrame
+
+
+def save(trained: TrainedClassifier, path: str) -> None:
+    """Model, its threshold and the evaluation tables below ``path``; what
+    scoring needs is stored together."""
+    spark = trained.comparison.sparkSession
+    trained.model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(trained.name, trained.threshold)], "name string, threshold double").write.mode("overwrite").parquet(f"{path}/decision")
+    for table, frame in (("comparison", trained.comparison), ("thresholds", trained.thresholds), ("test", trained.test_metrics), ("importance", trained.importance)):
+        frame.write.mode("overwrite").parquet(f"{path}/{table}")
+
+
+def predict_stored(path: str, orders: DataFrame) -> DataFrame:
+    """Score a batch with the model and threshold stored at ``path``."""
+    threshold = orders.sparkSession.read.parquet(f"{path}/decision").first()["threshold"]
+    return predict_late_delivery(PipelineModel.load(f"{path}/model"), orders, threshold)
 
 
 def train(dataset: DataFrame, settings: CandidateSettings = CandidateSettings()) -> TrainedClassifier:
     """Fit all candidates on the oldest orders, choose model and threshold on
     the next, and measure once on the newest."""
-    split = split_dataset(checked_dataset(dataset)).persist()
+    split = checkpointed(split_dataset(checked_dataset(checkpointed(dataset))))
     models = fit_candidates(split.filter(F.col("split") == "train"), settings)
     comparison = compare_models(models, split)
     name = select_model(comparison).first()["model"]
@@ -498,4 +501,5 @@ def train(dataset: DataFrame, settings: CandidateSettings = CandidateSettings())
         thresholds,
         classification_metrics(test, TARGET, "p", threshold),
         grouped_error_analysis(test, TARGET, "p", threshold),
+        permutation_importance(model, split.filter(F.col("split") == "validation")),
     )

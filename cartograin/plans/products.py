@@ -13,11 +13,11 @@ from ..operators.ranking import distributed_rank, top_k
 
 def eligible_items(items: DataFrame, orders: DataFrame, rules: StatusRules = DEFAULT_RULES) -> DataFrame:
     keep = orders.filter(is_eligible(rules)).select("order_id")
-    return lookup_join(items, keep, "order_id", heavy_from=items)
+    return lookup_join(items, keep, "order_id")
 
 
 def labelled_products(products: DataFrame, translation: DataFrame) -> DataFrame:
-    joined = lookup_join(products, translation, "product_category_name", "left", heavy_from=products)
+    joined = lookup_join(products, translation, "product_category_name", "left")
     return joined.select("product_id", category_label().alias("category"))
 
 
@@ -37,7 +37,7 @@ def product_totals(
             F.count(F.lit(1)).alias("items_sold"),
         )
     )
-    return lookup_join(sold, labelled_products(products, translation), "product_id", bounded_by=products)
+    return lookup_join(sold, labelled_products(products, translation), "product_id")
 
 
 def category_sales(
@@ -97,7 +97,7 @@ def order_scores(reviews: DataFrame) -> DataFrame:
 def reviewed_items(items: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
     """Items per ``key`` that belong to a reviewed order, with the sum of the
     orders' mean scores (a partial average that merges further)."""
-    scored = lookup_join(items.select("order_id", key), order_scores(reviews), "order_id", heavy_from=items)
+    scored = lookup_join(items.select("order_id", key), order_scores(reviews), "order_id")
     return scored.groupBy(key).agg(
         F.count(F.lit(1)).alias("reviewed_items"),
         F.sum("order_score").alias("score_sum"),
@@ -109,7 +109,7 @@ def category_reviews(
     items: DataFrame, products: DataFrame, reviews: DataFrame, translation: DataFrame, min_items: int = 100
 ) -> DataFrame:
     per_product = reviewed_items(items, reviews, "product_id")
-    labelled = lookup_join(per_product, labelled_products(products, translation), "product_id", bounded_by=products)
+    labelled = lookup_join(per_product, labelled_products(products, translation), "product_id")
     grouped = labelled.groupBy("category").agg(
         F.sum("reviewed_items").alias("reviewed_items"),
         F.round(ratio(F.sum("score_sum"), F.sum("scored")), 3).alias("average_review_score"),
@@ -128,7 +128,7 @@ def seller_totals(items: DataFrame, orders: DataFrame, rules: StatusRules = DEFA
     )
     keep = orders.filter(is_eligible(rules)).select("order_id")
     return (
-        lookup_join(pairs, keep, "order_id", heavy_from=items)
+        lookup_join(pairs, keep, "order_id")
         .groupBy("seller_id")
         .agg(
             F.sum("price").alias("revenue"),

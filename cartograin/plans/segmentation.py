@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import mean
 from ..operators.joins import with_scalar
-from ..operators.quality import DataQualityError
+from ..operators.quality import DataQualityError, assert_domain, assert_grain
 from ..operators.ranking import exact_quantiles, quantile_bin, sample_exact, share_of_total
-from ..operators.statistics import minmax, top_values_joined
+from ..operators.statistics import crosstab_share, minmax, top_values_joined
 from ..session import checkpointed
 
 RFM = ("recency", "frequency", "monetary")
@@ -40,18 +41,6 @@ SEGMENT_RULES = (
 )
 DEFAULT_SEGMENT = "Promising"
 
-# One suggestion per cluster name.
-RECOMMENDATIONS = {
-    "Repeat High-Value Customers": "Keep this small group: recognition, priority service, personal cross-sell offers.",
-    "One-Time Customers": "Onboard and test second-purchase prompts, split further by recency and value.",
-    "High-Value Customers": "Protect with priority support and relevant premium offers.",
-    "Repeat Customers": "Reward repeat buying and widen category use with personal offers.",
-    "Recent Customers": "Onboard now; run a time-limited second-purchase campaign.",
-    "Hibernating Customers": "Test reactivation selectively; stop where responses do not pay.",
-    "Occasional Customers 1": "Low-cost lifecycle messages and category reminders.",
-    "Occasional Customers 2": "Test different incentives and watch the added margin.",
-}
-
 
 # --- rules ----------------------------------------------------------------
 
@@ -174,10 +163,23 @@ def sampled_silhouette(labelled: DataFrame, ks: Sequence[int], sample: int = 10_
     return averages.select(F.explode(pairs).alias("p")).select("p.k", "p.silhouette_score")
 
 
+def full_silhouette(labelled: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Silhouette of squared distances for each labelling ``c<k>`` over all
+    people: (k, silhouette_score). The distance of a point to a cluster follows
+    from the cluster's count, sum and sum of squares, so the pass is linear."""
+    measure = ClusteringEvaluator(featuresCol="features", metricName="silhouette", distanceMeasure="squaredEuclidean")
+    scores = [(k, float(measure.setPredictionCol(f"c{k}").evaluate(labelled))) for k in ks]
+    return labelled.sparkSession.createDataFrame(scores, "k int, silhouette_score double")
+
+
 def evaluate_k(
-    rfm: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 20, seed: int = 42, sample: int = 10_000
+    rfm: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 20, seed: int = 42, sample: int | None = None
 ) -> tuple[DataFrame, dict[int, PipelineModel]]:
-    """Cost, sampled silhouette and smallest cluster for each k, and the models."""
+    """Cost, silhouette and smallest cluster for each k, and the models.
+
+    The silhouette is of squared distances over all people; with ``sample`` it
+    is the Euclidean one over that many people instead.
+    """
     prepared = prepare(rfm)
     ks = list(ks)
     rows, models = [], {}
@@ -192,11 +194,13 @@ def evaluate_k(
     costs = rfm.sparkSession.createDataFrame(
         rows, "k int, inertia double, minimum_cluster_size long, minimum_cluster_share double"
     )
-    scores = sampled_silhouette(labelled, ks, sample, seed)
+    scores = full_silhouette(labelled, ks) if sample is None else sampled_silhouette(labelled, ks, sample, seed)
     result = costs.join(F.broadcast(scores), "k").select(
         "k", "inertia", "silhouette_score", "minimum_cluster_size", "minimum_cluster_share"
     )
-    return result.orderBy("k"), models
+    result = checkpointed(result.orderBy("k"))  # one row per k
+    prepared.frame.unpersist()
+    return result, models
 
 
 def select_k(results: DataFrame, min_share: float = 0.02, margin: float = 0.03, largest: int = 6) -> int:
@@ -253,7 +257,7 @@ def cluster_names(profiles: DataFrame) -> dict[int, str]:
         high, low = sorted(rows, key=lambda r: -r["repeat_customer_rate"])
         if high["repeat_customer_rate"] > 0.9 and low["repeat_customer_rate"] < 0.1:
             return {high["cluster_id"]: "Repeat High-Value Customers", low["cluster_id"]: "One-Time Customers"}
-    # In turn, the cluster that leads on each trait takes the name.
+    # Names in turn, each taken by the cluster that leads on the trait.
     traits = (
         ("High-Value Customers", lambda r: -r["mean_monetary"]),
         ("Repeat Customers", lambda r: (-r["repeat_customer_rate"], -r["median_frequency"])),
@@ -276,11 +280,6 @@ def with_cluster_names(df: DataFrame, names: dict[int, str]) -> DataFrame:
     return df.withColumn("cluster_name", F.element_at(lookup, F.col("cluster_id")))
 
 
-def with_recommendations(profiles: DataFrame) -> DataFrame:
-    lookup = F.create_map(*[F.lit(x) for pair in RECOMMENDATIONS.items() for x in pair])
-    return profiles.withColumn("recommendation", F.try_element_at(lookup, F.col("cluster_name")))
-
-
 def minmax_profile(profiles: DataFrame) -> DataFrame:
     columns = [f"median_{m}" for m in RFM]
     return minmax(profiles.select("cluster_id", *columns), columns)
@@ -318,15 +317,43 @@ class TrainedSegments:
     results: DataFrame
     profiles: DataFrame
     customers: DataFrame
+    crosstab: DataFrame
+
+
+def rule_by_cluster(customers: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per rule segment the share of its people in each named cluster."""
+    return crosstab_share(customers, "rfm_segment", "cluster_name", list(names))
+
+
+def checked_rfm(rfm: DataFrame) -> DataFrame:
+    """Raises on a repeated person or a missing or negative measure."""
+    assert_grain(rfm, [PERSON])
+    assert_domain(rfm, {f"{c} is not negative": F.col(c) >= 0 for c in RFM})
+    return rfm
+
+
+def export(trained: TrainedSegments, path: str) -> None:
+    """Model, customers with their segments, profiles, k table, rule-by-cluster
+    shares and names below ``path``."""
+    trained.model.write().overwrite().save(f"{path}/model")
+    for name, frame in (
+        ("customers", trained.customers),
+        ("profiles", trained.profiles),
+        ("k_selection", trained.results),
+        ("rule_by_cluster", trained.crosstab),
+    ):
+        frame.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def train(rfm: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 20, seed: int = 42) -> TrainedSegments:
+    rfm = checked_rfm(checkpointed(rfm))
     segmented = checkpointed(rfm_segment(rfm_scores(rfm)))
     results, models = evaluate_k(segmented, ks, restarts, seed)
     k = select_k(results)
     clustered = checkpointed(models[k].transform(segmented).select(*segmented.columns, "cluster_id"))
     profiles = cluster_profiles(clustered)
     names = cluster_names(profiles)
+    named = with_cluster_names(clustered, names)
     return TrainedSegments(
-        k, models[k], names, results, with_cluster_names(profiles, names), with_cluster_names(clustered, names)
+        k, models[k], names, results, with_cluster_names(profiles, names), named, rule_by_cluster(named, list(names.values()))
     )

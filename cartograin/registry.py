@@ -148,7 +148,7 @@ def modeling(r: Roles) -> DataFrame:
 
 @query("b13_feature_audit")
 def _(r):
-    return late_delivery.feature_audit(modeling(r)).select("feature", "available_at_prediction_time")
+    return late_delivery.feature_audit(modeling(r))
 
 
 @query("b14_validate_requests")
@@ -283,7 +283,7 @@ def _(r):
 
 @query("d1_inner_lookup")
 def _(r):
-    return joins.lookup_join(r.orders, r.customers, "customer_id", heavy_from=r.orders).select(
+    return joins.lookup_join(r.orders, r.customers, "customer_id").select(
         "order_id", "customer_id", "customer_unique_id", "customer_state"
     )
 
@@ -337,7 +337,7 @@ def _(r):
 
 @query("d9_merge_inner")
 def _(r):
-    scored = joins.lookup_join(r.order_items, products.order_scores(r.reviews), "order_id", heavy_from=r.order_items)
+    scored = joins.lookup_join(r.order_items, products.order_scores(r.reviews), "order_id")
     return scored.groupBy("product_id").agg(F.count(F.lit(1)).alias("items"), F.round(F.sum("order_score"), 4).alias("score_sum"))
 
 
@@ -706,7 +706,7 @@ def _(r):
 
 @query("f17_category_review_extremes")
 def _(r):
-    return eda.category_review_extremes(items_ds(r), reviews_ds(r), RULES, k=2)
+    return eda.category_review_extremes(items_ds(r), reviews_ds(r), RULES)
 
 
 @query("f18_eda_metrics")
@@ -774,10 +774,14 @@ def _(r):
     return rounded(eda.largest_residuals(residuals(r), 10))
 
 
-@query("f27_rfm_log_histogram")
+@query("f27_rfm_log_histograms")
 def _(r):
-    logs = rfm_dataset(r).select(F.log1p(F.col("monetary").cast("double")).alias("log_monetary"))
-    return rounded(statistics.histogram(logs, "log_monetary", 60), 5)
+    rfm = checkpointed(rfm_dataset(r))
+    parts = []
+    for measure in segmentation.RFM:
+        logs = rfm.select(F.round(F.log1p(F.col(measure).cast("double")), 9).alias("v"))
+        parts.append(rounded(statistics.histogram(logs, "v", 60), 5).withColumn("measure", F.lit(measure)))
+    return joins.union_all(*parts)
 
 
 @query("f27_scatter_sample")
@@ -807,7 +811,7 @@ def _(r):
 @query("h3_dominant_value")
 def _(r):
     detail = joins.lookup_join(
-        r.order_items, products.labelled_products(r.products, r.translation), "product_id", heavy_from=r.order_items, bounded_by=r.products
+        r.order_items, products.labelled_products(r.products, r.translation), "product_id"
     )
     return joins.dominant_value(detail, "order_id", "category")
 
@@ -889,18 +893,17 @@ def _(r):
 
 @query("i3_order_by_hidden")
 def _(r):
-    """The two statuses whose first order came earliest; the date that
-    decides is not reported."""
+    """All statuses by their first order; the date that decides is not reported."""
     first = r.orders.groupBy("order_status").agg(
         F.count(F.lit(1)).alias("orders"), F.min(F.struct("order_purchase_timestamp", "order_id")).alias("_first")
     )
-    return first.orderBy("_first").limit(2).drop("_first")
+    return first.orderBy("_first").drop("_first")
 
 
 @query("i7_latest_per_key")
 def _(r):
     """Latest order of every customer with its location."""
-    located = joins.lookup_join(r.orders, r.customers, "customer_id", heavy_from=r.orders)
+    located = joins.lookup_join(r.orders, r.customers, "customer_id")
     return joins.latest_row(
         located, "customer_unique_id", "order_purchase_timestamp", "order_id", ["order_id", "customer_state", "customer_city"]
     )
@@ -1030,12 +1033,21 @@ def _(r):
     return rounded(statistics.crosstab_share(marked, "rfm_segment", "half", ["even", "odd"]))
 
 
-@query("l12_minmax")
+def rule_clusters(r: Roles) -> DataFrame:
+    """Rule segments as clusters, numbered in order of precedence."""
+    names = [rule[0] for rule in segmentation.SEGMENT_RULES]
+    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("rfm_segment")) - 1
+    return checkpointed(_segments(r).withColumn("cluster_id", number.cast("int")))
+
+
+@query("l7_rule_profiles")
 def _(r):
-    grouped = rfm_dataset(r).groupBy("customer_state").agg(
-        X.mean("recency").alias("recency"), X.mean("frequency").alias("frequency"), X.mean("monetary").alias("monetary")
-    )
-    return rounded(statistics.minmax(grouped, segmentation.RFM))
+    return rounded(segmentation.cluster_profiles(rule_clusters(r)).drop("top_customer_states"), 4)
+
+
+@query("l12_minmax_profile")
+def _(r):
+    return rounded(segmentation.minmax_profile(segmentation.cluster_profiles(rule_clusters(r))))
 
 
 # --- forecasting ----------------------------------------------------------
@@ -1074,37 +1086,30 @@ def _(r):
     return _baseline(r, "RollingMean7")
 
 
-def seasonal_backtest(r: Roles) -> DataFrame:
-    """Each day of both order series against the value seven days before, in
-    three yearly folds and two variants: every piece has a plain SQL form."""
-    lagged = timeseries.lags(order_series(r), ["series"], "date", "value", [1, 7])
-    kept = lagged.dropna()
-    parts = [
-        kept.select("series", (F.year("date") % 3 + 1).alias("fold"), F.lit(model).alias("model"), "date", F.col("value").alias("actual"), F.col(column).alias("predicted"))
-        for model, column in (("SeasonalNaive7", "lag_7"), ("NaiveLastValue", "lag_1"))
-    ]
-    return joins.union_all(*parts)
+def baseline_backtest(r: Roles) -> DataFrame:
+    """Walk-forward predictions of the four baselines on both order series."""
+    return checkpointed(forecasting.walk_forward(checkpointed(order_series(r)), ()))
 
 
 def residuals(r: Roles) -> DataFrame:
-    one = seasonal_backtest(r).filter((F.col("model") == "SeasonalNaive7") & (F.col("series") == "daily_orders"))
+    one = baseline_backtest(r).filter((F.col("model") == "SeasonalNaive7") & (F.col("series") == "daily_orders"))
     return evaluation.residual_table(one)
 
 
 @query("m5_error_metrics")
 def _(r):
-    return rounded(evaluation.error_metrics(seasonal_backtest(r), ["series", "model", "fold"]), 4)
+    return rounded(evaluation.error_metrics(baseline_backtest(r), ["series", "model", "fold"]), 4)
 
 
 @query("m7_summarize_backtest")
 def _(r):
-    metrics = evaluation.error_metrics(seasonal_backtest(r), ["series", "model", "fold"])
+    metrics = evaluation.error_metrics(baseline_backtest(r), ["series", "model", "fold"])
     return rounded(evaluation.summarize_backtest(metrics, ["series", "model"]), 4)
 
 
 @query("m8_choose_model")
 def _(r):
-    metrics = evaluation.error_metrics(seasonal_backtest(r), ["series", "model", "fold"])
+    metrics = evaluation.error_metrics(baseline_backtest(r), ["series", "model", "fold"])
     return evaluation.choose_model(evaluation.summarize_backtest(metrics, ["series", "model"]), ["series"])
 
 
@@ -1115,18 +1120,12 @@ def _(r):
 
 @query("m11_interval_quantiles")
 def _(r):
-    chosen = seasonal_backtest(r).filter(F.col("model") == "SeasonalNaive7")
+    chosen = baseline_backtest(r).filter(F.col("model") == "SeasonalNaive7")
     return rounded(forecasting.residual_quantiles(chosen), 4)
 
 
 # --- fitted models: rows only in the SQL comparison -----------------------
 
-# Smaller ensembles than the library defaults, so that a check run stays short.
-CLASSIFIERS = late_delivery.CandidateSettings(trees=20, tree_depth=8, boosting_rounds=10, boosting_depth=4)
-REGRESSORS = forecasting.ForecastSettings(trees=20, tree_depth=8, boosting_rounds=10, boosting_depth=4)
-RESTARTS = 2
-
-
 def split_rows(r: Roles) -> DataFrame:
     """The split modelling rows, written once: every fit reads them many times."""
     return checkpointed(late_delivery.split_dataset(modeling(r)))
@@ -1137,7 +1136,7 @@ def train_rows(split: DataFrame) -> DataFrame:
 
 
 def fitted(split: DataFrame, name: str):
-    return late_delivery.fit_candidates(train_rows(split), CLASSIFIERS, (name,))[name]
+    return late_delivery.fit_candidates(train_rows(split), names=(name,))[name]
 
 
 @query("k1_preprocess")
@@ -1179,7 +1178,7 @@ def _(r):
 @query("k8_select_model")
 def _(r):
     split = split_rows(r)
-    models = late_delivery.fit_candidates(train_rows(split), CLASSIFIERS)
+    models = late_delivery.fit_candidates(train_rows(split))
     return late_delivery.select_model(late_delivery.compare_models(models, split))
 
 
@@ -1193,8 +1192,8 @@ def _(r):
 @query("k12_predict_late_delivery")
 def _(r):
     split = split_rows(r)
-    test = split.filter(F.col("split") == "test").drop("split", late_delivery.TARGET)
-    predicted = late_delivery.predict_late_delivery(fitted(split, "LogisticRegression"), test, 0.55)
+    orders = split.drop("split", late_delivery.TARGET)
+    predicted = late_delivery.predict_late_delivery(fitted(split, "LogisticRegression"), orders, 0.55)
     return predicted.select("order_id", "late_delivery_probability", "predicted_late_delivery", "risk_label")
 
 
@@ -1204,7 +1203,7 @@ def written_rfm(r: Roles) -> DataFrame:
 
 def clustered(r: Roles, k: int = 3) -> DataFrame:
     prepared = segmentation.prepare(written_rfm(r))
-    return segmentation.fit_clusters(prepared, k, RESTARTS).transform(prepared.frame).drop("features")
+    return segmentation.fit_clusters(prepared, k).transform(prepared.frame).drop("features")
 
 
 @query("l4_cluster_pipeline")
@@ -1214,12 +1213,12 @@ def _(r):
 
 @query("l5_evaluate_k")
 def _(r):
-    return segmentation.evaluate_k(written_rfm(r), range(2, 9), RESTARTS)[0]
+    return segmentation.evaluate_k(written_rfm(r))[0]
 
 
 @query("l6_select_k")
 def _(r):
-    results, _ = segmentation.evaluate_k(written_rfm(r), range(2, 5), RESTARTS)
+    results, _ = segmentation.evaluate_k(written_rfm(r))
     return results.filter(F.col("k") == segmentation.select_k(results))
 
 
@@ -1231,8 +1230,16 @@ def _(r):
 @query("l8_cluster_names")
 def _(r):
     profiles = segmentation.cluster_profiles(checkpointed(clustered(r)))
-    named = segmentation.with_cluster_names(profiles, segmentation.cluster_names(profiles))
-    return segmentation.with_recommendations(named).select("cluster_id", "cluster_name", "recommendation")
+    return segmentation.with_cluster_names(profiles, segmentation.cluster_names(profiles)).select("cluster_id", "cluster_name")
+
+
+@query("l9_rule_by_cluster")
+def _(r):
+    rows = checkpointed(_segments(r))
+    prepared = segmentation.prepare(rows)
+    clustered_rows = checkpointed(segmentation.fit_clusters(prepared, 3).transform(prepared.frame).drop("features"))
+    names = segmentation.cluster_names(segmentation.cluster_profiles(clustered_rows))
+    return segmentation.rule_by_cluster(segmentation.with_cluster_names(clustered_rows, names), list(names.values()))
 
 
 @query("l10_pca_2d")
@@ -1244,59 +1251,76 @@ def _(r):
 @query("l11_predict_segment")
 def _(r):
     rfm = written_rfm(r)
-    model = segmentation.cluster_pipeline(segmentation.prepare(rfm), 3, RESTARTS)
-    names = {i: f"Cluster {i}" for i in range(3)}
+    model = segmentation.cluster_pipeline(segmentation.prepare(rfm), 3)
+    names = segmentation.cluster_names(segmentation.cluster_profiles(checkpointed(model.transform(rfm).drop("features"))))
     return segmentation.predict_segment(model, rfm, names).select("customer_unique_id", "cluster_id", "cluster_name")
 
 
-def target_series(r: Roles, target: str = "daily_orders") -> DataFrame:
-    return checkpointed(order_series(r)).filter(F.col("series") == target)
+def written_series(r: Roles) -> DataFrame:
+    return checkpointed(order_series(r))
+
+
+def each_target(series: DataFrame):
+    """Name and rows of each series: the order series are two by definition."""
+    return [(t, series.filter(F.col("series") == t)) for t in ("daily_orders", "daily_revenue")]
 
 
 @query("m3_recursive_forecast")
 def _(r):
-    series = checkpointed(event_days(r).filter(F.col("date") <= F.lit("2024-01-30").cast("date")))
-    history = target_series(r)
-    model = forecasting.fit_model("LinearRegression", history)
-    states = forecasting.series_state(history.unionByName(series))
-    return forecasting.recursive_forecast(model, states.filter(F.size("hist") == forecasting.HISTORY), 14)
+    history = written_series(r)
+    parts = [
+        forecasting.recursive_forecast(forecasting.fit_model("LinearRegression", one), forecasting.series_state(one), 30)
+        for _, one in each_target(history)
+    ]
+    return joins.union_all(*parts)
 
 
 @query("m4_candidates")
 def _(r):
-    history = target_series(r)
     parts = []
-    for name in forecasting.MODELS:
-        model = forecasting.fit_model(name, history, REGRESSORS)
-        rows = model.transform(timeseries.make_features(history, ["series"]))
-        pairs = rows.select(F.col("target").alias("actual"), F.col("prediction").alias("predicted"))
-        parts.append(evaluation.error_metrics(pairs).withColumn("model", F.lit(name)))
+    for target, history in each_target(written_series(r)):
+        for name in forecasting.MODELS:
+            model = forecasting.fit_model(name, history)
+            rows = model.transform(timeseries.make_features(history, ["series"]))
+            pairs = rows.select(F.col("target").alias("actual"), F.col("prediction").alias("predicted"))
+            parts.append(evaluation.error_metrics(pairs).withColumns({"series": F.lit(target), "model": F.lit(name)}))
     return joins.union_all(*parts)
 
 
 @query("m6_walk_forward")
 def _(r):
-    predictions = forecasting.walk_forward(target_series(r), ("LinearRegression",), REGRESSORS)
-    return forecasting.backtest_metrics(predictions)
+    return rounded(baseline_backtest(r), 4)
+
+
+@query("m6_walk_forward_models")
+def _(r):
+    parts = [forecasting.walk_forward(one) for _, one in each_target(written_series(r))]
+    return forecasting.backtest_metrics(joins.union_all(*parts))
 
 
 @query("m9_holdout_evaluation")
 def _(r):
-    return forecasting.holdout_evaluation(target_series(r, "daily_revenue"), "RandomForestRegressor", REGRESSORS)[0]
+    return rounded(forecasting.holdout_evaluation(written_series(r), "SeasonalNaive7")[0], 4)
+
+
+@query("m9_holdout_models")
+def _(r):
+    parts = [
+        forecasting.holdout_evaluation(one, name)[0].withColumn("model", F.lit(name))
+        for _, one in each_target(written_series(r))
+        for name in forecasting.MODELS
+    ]
+    return joins.union_all(*parts)
 
 
 @query("m12_generate_forecast")
 def _(r):
-    series = checkpointed(order_series(r))
-    chosen = seasonal_backtest(r).filter(F.col("model") == "SeasonalNaive7")
-    artifacts = {
-        target: forecasting.fit_artifact("SeasonalNaive7", series.filter(F.col("series") == target))
-        for target in ("daily_orders", "daily_revenue")
-    }
-    spread = forecasting.residual_quantiles(chosen)
-    return forecasting.wide_forecast(forecasting.generate_forecast(artifacts, spread, 30))
+    """Best baseline of each series by backtest, with its own spread."""
+    trained = forecasting.train(order_series(r), ("daily_orders", "daily_revenue"), ())
+    return rounded(forecasting.wide_forecast(forecasting.generate_forecast(trained.artifacts, trained.spread, 30)), 4)
 
 
 @query("m13_fit_artifact")
 def _(r):
-    return forecasting.fit_artifact("LinearRegression", target_series(r)).forecast(7)
+    trained = forecasting.train(order_series(r), ("daily_orders", "daily_revenue"), ())
+    return rounded(joins.union_all(*[artifact.forecast(7) for artifact in trained.artifacts.values()]), 4)

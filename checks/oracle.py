@@ -223,10 +223,20 @@ _FEATURES = (
     " payment_value payment_installments estimated_delivery_window_days customer_state dominant_product_category"
     " dominant_seller_state same_customer_seller_state payment_type"
 ).split()
-SQL["b13_feature_audit"] = (
-    "SELECT column_name AS feature, true AS available_at_prediction_time FROM (DESCRIBE SELECT "
-    + ", ".join(_FEATURES)
-    + " FROM modeling)"
+_SOURCES = {
+    "orders": "purchase_month purchase_day_of_week purchase_hour estimated_delivery_window_days",
+    "customers": "customer_state customer_zip_region",
+    "order_items": "item_value freight_value item_count unique_products seller_count",
+    "products": "total_product_weight_g average_product_length_cm average_product_height_cm average_product_width_cm dominant_product_category",
+    "sellers": "dominant_seller_state",
+    "customers, sellers": "same_customer_seller_state",
+    "payments": "payment_type payment_value payment_installments",
+}
+SQL["b13_feature_audit"] = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, '{table}' AS source, count(*) AS rows, count(*) - count({f}) AS nulls, count(DISTINCT {f}) AS distinct_values,"
+    " true AS available_at_prediction_time FROM modeling"
+    for table, features in _SOURCES.items()
+    for f in features.split()
 )
 _OPEN = {"item_value": 0, "freight_value": 0, "item_count": 1, "unique_products": 1, "seller_count": 1, "total_product_weight_g": 0,
          "average_product_length_cm": 0, "average_product_height_cm": 0, "average_product_width_cm": 0, "payment_value": 0, "payment_installments": 0}
@@ -525,8 +535,8 @@ SQL["f16_value_by_installments"] = f"""
 SQL["f17_category_review_extremes"] = """
     WITH c AS (SELECT category AS category_english, round(avg(score), 6) AS average_review, count(*) AS reviewed_items
                FROM items_ds JOIN order_score USING (order_id) WHERE order_status <> 'P' GROUP BY 1 HAVING count(*) >= 100)
-    SELECT * FROM (SELECT * FROM c ORDER BY average_review, category_english LIMIT 2)
-    UNION SELECT * FROM (SELECT * FROM c ORDER BY average_review DESC, category_english DESC LIMIT 2)"""
+    SELECT * FROM (SELECT * FROM c ORDER BY average_review, category_english LIMIT 8)
+    UNION SELECT * FROM (SELECT * FROM c ORDER BY average_review DESC, category_english DESC LIMIT 8)"""
 _PAIRS = {
     "delay_review": ("reviews_ds", "delay_days", "score"),
     "freight_delivery": ("delivered_ds", dbl("freight"), "delivery_days"),
@@ -565,7 +575,9 @@ SQL["f26_weekday_residuals"] = """
     SELECT weekday, round(avg(residual), 6) AS mean, round(stddev_samp(residual), 6) AS std, count(residual) AS count FROM residuals GROUP BY 1"""
 SQL["f26_largest_residuals"] = """
     SELECT date, actual, predicted, residual, weekday FROM residuals ORDER BY abs(residual) DESC, date LIMIT 10"""
-SQL["f27_rfm_log_histogram"] = histogram("(SELECT ln(1 + monetary::DOUBLE) AS v FROM rfm)", "v", 60, None, 5)
+SQL["f27_rfm_log_histograms"] = " UNION ALL ".join(
+    f"SELECT *, '{m}' AS measure FROM ({histogram(f'(SELECT round(ln(1 + {m}::DOUBLE), 9) AS v FROM rfm)', 'v', 60, None, 5)})" for m in ("recency", "frequency", "monetary")
+)
 SQL["f27_scatter_sample"] = f"""
     SELECT customer_unique_id, recency, {dbl('monetary')} AS monetary FROM rfm
     ORDER BY md5(concat_ws(':', customer_unique_id, '42')), customer_unique_id LIMIT 20000"""
@@ -632,7 +644,7 @@ SQL["i2_head_tail"] = """
 SQL["i4_sample_exact"] = """
     SELECT order_id, order_status FROM sales_orders ORDER BY md5(concat_ws(':', order_id, '42')), order_id LIMIT 10000"""
 SQL["i3_order_by_hidden"] = """
-    SELECT order_status, count(*) AS orders FROM sales_orders GROUP BY 1 ORDER BY min({'d': bought, 'o': order_id}) LIMIT 2"""
+    SELECT order_status, count(*) AS orders FROM sales_orders GROUP BY 1 ORDER BY min({'d': bought, 'o': order_id})"""
 SQL["i7_latest_per_key"] = """
     SELECT DISTINCT ON (customer_unique_id) customer_unique_id, order_id, customer_state, customer_city
     FROM sales_orders JOIN customers USING (customer_id) ORDER BY customer_unique_id, bought DESC, order_id"""
@@ -681,13 +693,21 @@ SQL["l3_rule_distribution"] = f"""
 SQL["l9_rule_crosstab"] = """
     SELECT rfm_segment, round(count(*) FILTER (WHERE recency % 2 = 0) / count(*), 6) AS even,
            round(count(*) FILTER (WHERE recency % 2 <> 0) / count(*), 6) AS odd FROM segments GROUP BY 1"""
+_RULES = "Champions, Loyal Customers, High Value At Risk, New Customers, Potential Loyalists, Promising, At Risk, Needs Attention, Hibernating".split(", ")
+_NUMBERED = f"(SELECT *, CAST(list_position({_RULES!r}, rfm_segment) - 1 AS INTEGER) AS cluster_id FROM segments)"
+_MEDIANS = ", ".join(f"quantile_cont({c}::DOUBLE, 0.5) AS median_{c}" for c in ("recency", "frequency", "monetary"))
+SQL["l7_rule_profiles"] = f"""
+    SELECT cluster_id, customer_count, round(median_recency, 4) AS median_recency, round(median_frequency, 4) AS median_frequency,
+           round(median_monetary, 4) AS median_monetary, round(revenue / customer_count, 4) AS mean_monetary, round(revenue, 4) AS total_revenue,
+           round(repeaters, 4) AS repeat_customer_rate, round(100.0::DOUBLE * customer_count / sum(customer_count) OVER (), 4) AS customer_percentage,
+           round(100.0::DOUBLE * revenue / sum(revenue) OVER (), 4) AS revenue_share
+    FROM (SELECT cluster_id, count(*) AS customer_count, {_MEDIANS}, CAST(sum(monetary) AS DOUBLE) AS revenue,
+                 avg(CAST(frequency > 1 AS INTEGER)) AS repeaters FROM {_NUMBERED} GROUP BY 1)"""
 _SCALED = ", ".join(
     f"round(({c} - min({c}) OVER ()) / coalesce(nullif(max({c}) OVER () - min({c}) OVER (), 0), 1), 6) AS {c}"
-    for c in ("recency", "frequency", "monetary")
+    for c in ("median_recency", "median_frequency", "median_monetary")
 )
-SQL["l12_minmax"] = f"""
-    SELECT customer_state, {_SCALED} FROM (
-        SELECT customer_state, {avg('recency')} AS recency, {avg('frequency')} AS frequency, {avg('monetary')} AS monetary FROM rfm GROUP BY 1)"""
+SQL["l12_minmax_profile"] = f"SELECT cluster_id, {_SCALED} FROM (SELECT cluster_id, {_MEDIANS} FROM {_NUMBERED} GROUP BY 1)"
 
 # --- forecasting ----------------------------------------------------------
 
@@ -718,14 +738,28 @@ SQL["m2_rolling_mean"] = """
     FROM walk WHERE step > 0"""
 SQL["m5_error_metrics"] = """
     SELECT series, model, fold, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(mape, 4) AS mape, round(smape, 4) AS smape FROM fold_errors"""
-_SUMMARY = """(SELECT series, model, avg(mae) AS mae, avg(rmse) AS rmse,
-    coalesce(avg(mape) FILTER (WHERE NOT isnan(mape)), 'NaN'::DOUBLE) AS mape, coalesce(avg(smape) FILTER (WHERE NOT isnan(smape)), 'NaN'::DOUBLE) AS smape
-    FROM fold_errors GROUP BY 1, 2)"""
-SQL["m7_summarize_backtest"] = f"""
-    SELECT series, model, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(mape, 4) AS mape, round(smape, 4) AS smape FROM {_SUMMARY}"""
-SQL["m8_choose_model"] = f"""
-    SELECT series, CASE WHEN (max(mae) FILTER (WHERE model = 'SeasonalNaive7') - min(mae)) / max(mae) FILTER (WHERE model = 'SeasonalNaive7') < 0.01
-                        THEN 'SeasonalNaive7' ELSE arg_min(model, mae) END AS model FROM {_SUMMARY} GROUP BY 1"""
+SQL["m6_walk_forward"] = "SELECT series, fold, model, step, date, round(actual, 4) AS actual, round(predicted, 4) AS predicted FROM backtest"
+SQL["m7_summarize_backtest"] = """
+    SELECT series, model, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(mape, 4) AS mape, round(smape, 4) AS smape FROM fold_summary"""
+SQL["m8_choose_model"] = "SELECT series, model FROM chosen"
+SQL["m9_holdout_evaluation"] = """
+    SELECT series, CAST(horizon AS INTEGER) AS horizon, round(avg(abs(actual - predicted)), 4) AS mae, round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,
+           round(coalesce(avg(abs((actual - predicted) / nullif(actual, 0))) * 100, 'NaN'::DOUBLE), 4) AS mape,
+           round(CASE WHEN count(*) FILTER (WHERE abs(actual) + abs(predicted) = 0) > 0 THEN 'NaN'::DOUBLE
+                      ELSE avg(200 * abs(actual - predicted) / nullif(abs(actual) + abs(predicted), 0)) END, 4) AS smape
+    FROM (SELECT f.series, step, s.value AS actual, predicted FROM forecasts f JOIN series s ON f.series = s.series AND f.date = s.date
+          WHERE fold = 4 AND model = 'SeasonalNaive7'), (VALUES (7), (14), (30)) h(horizon) WHERE step <= horizon GROUP BY 1, 2"""
+SQL["m13_fit_artifact"] = """
+    SELECT f.series, step, date, round(predicted, 4) AS predicted FROM forecasts f JOIN chosen c ON f.series = c.series AND f.model = c.model WHERE fold = 5 AND step <= 7"""
+_BOUNDED = """(SELECT f.series, f.date, f.predicted, greatest(0, f.predicted + q.lo * sqrt(1 + f.step / 7)) AS lo, f.predicted + q.hi * sqrt(1 + f.step / 7) AS hi
+    FROM forecasts f JOIN chosen c ON f.series = c.series AND f.model = c.model
+    JOIN (SELECT series, model, quantile_cont(actual - predicted, 0.05) AS lo, quantile_cont(actual - predicted, 0.95) AS hi FROM backtest GROUP BY 1, 2) q
+      ON q.series = c.series AND q.model = c.model WHERE f.fold = 5)"""
+SQL["m12_generate_forecast"] = "SELECT date, " + ", ".join(
+    f"round(max({source}) FILTER (WHERE series = 'daily_{short}'), 4) AS {name}"
+    for short in ("orders", "revenue")
+    for source, name in (("predicted", f"predicted_{short}"), ("lo", f"{short}_lower_bound"), ("hi", f"{short}_upper_bound"))
+) + f" FROM {_BOUNDED} GROUP BY 1"
 SQL["m10_residual_table"] = "SELECT * FROM residuals"
 SQL["m11_interval_quantiles"] = """
     SELECT series, round(quantile_cont(actual - predicted, 0.05), 4) AS lower, round(quantile_cont(actual - predicted, 0.95), 4) AS upper

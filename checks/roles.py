@@ -154,16 +154,40 @@ ROLES = {
     "lagged": """
         SELECT series, date, value, lag(value, 1) OVER w AS lag_1, lag(value, 7) OVER w AS lag_7
         FROM series WINDOW w AS (PARTITION BY series ORDER BY date)""",
+    # History before each fold (1-3), before the holdout (4) and in full (5).
+    "fold_hist": """
+        SELECT series, CAST(f AS INTEGER) AS fold, list(value ORDER BY date) AS v, max(date) AS last_date
+        FROM (SELECT *, max(date) OVER (PARTITION BY series) AS final FROM series), range(1, 6) g(f)
+        WHERE date < final - CAST(29 + (4 - f) * 30 AS INTEGER) GROUP BY 1, 2""",
+    "rolled": """
+        WITH RECURSIVE walk AS (
+            SELECT series, fold, 0 AS step, last_date, v[-7:] AS tail FROM fold_hist
+            UNION ALL
+            SELECT series, fold, step + 1, last_date, list_append(tail[2:], greatest(0, list_sum(tail) / 7)) FROM walk WHERE step < 30)
+        SELECT series, fold, 'RollingMean7' AS model, CAST(step AS INTEGER) AS step, last_date + CAST(step AS INTEGER) AS date, tail[-1] AS predicted
+        FROM walk WHERE step > 0""",
+    "forecasts": """
+        SELECT series, fold, model, CAST(step AS INTEGER) AS step, last_date + CAST(step AS INTEGER) AS date,
+               greatest(0, CASE model WHEN 'NaiveLastValue' THEN v[-1] WHEN 'HistoricalMean' THEN list_avg(v) ELSE v[-7:][(step - 1) % 7 + 1] END) AS predicted
+        FROM fold_hist, range(1, 31) g(step), (VALUES ('NaiveLastValue'), ('HistoricalMean'), ('SeasonalNaive7')) m(model)
+        UNION ALL SELECT * FROM rolled""",
     "backtest": """
-        SELECT series, CAST(year(date) % 3 + 1 AS INTEGER) AS fold, model, date, value AS actual,
-               CASE model WHEN 'SeasonalNaive7' THEN lag_7 ELSE lag_1 END AS predicted
-        FROM lagged, (VALUES ('SeasonalNaive7'), ('NaiveLastValue')) m(model) WHERE lag_7 IS NOT NULL""",
+        SELECT f.series, f.fold, f.model, f.step, f.date, s.value AS actual, f.predicted
+        FROM forecasts f JOIN series s ON f.series = s.series AND f.date = s.date WHERE f.fold <= 3""",
     "fold_errors": """
         SELECT series, model, fold, avg(abs(actual - predicted)) AS mae, sqrt(avg((actual - predicted) ** 2)) AS rmse,
                coalesce(avg(abs((actual - predicted) / nullif(actual, 0))) * 100, 'NaN'::DOUBLE) AS mape,
                CASE WHEN count(*) FILTER (WHERE abs(actual) + abs(predicted) = 0) > 0 THEN 'NaN'::DOUBLE
                     ELSE avg(200 * abs(actual - predicted) / nullif(abs(actual) + abs(predicted), 0)) END AS smape
         FROM backtest GROUP BY 1, 2, 3""",
+    "fold_summary": """
+        SELECT series, model, avg(mae) AS mae, avg(rmse) AS rmse,
+            coalesce(avg(mape) FILTER (WHERE NOT isnan(mape)), 'NaN'::DOUBLE) AS mape,
+            coalesce(avg(smape) FILTER (WHERE NOT isnan(smape)), 'NaN'::DOUBLE) AS smape
+        FROM fold_errors GROUP BY 1, 2""",
+    "chosen": """
+        SELECT series, CASE WHEN (max(mae) FILTER (WHERE model = 'SeasonalNaive7') - min(mae)) / max(mae) FILTER (WHERE model = 'SeasonalNaive7') < 0.01
+                        THEN 'SeasonalNaive7' ELSE arg_min(model, mae) END AS model FROM fold_summary GROUP BY 1""",
     "residuals": """
         SELECT date, actual, predicted, actual - predicted AS residual, dayname(date) AS weekday
         FROM backtest WHERE model = 'SeasonalNaive7' AND series = 'daily_orders'""",

@@ -92,7 +92,7 @@ def test_spreading_a_hot_key_changes_no_row(spark, spread, how):
     heavy = joins.hot_keys(left, ["k"]).collect()
     assert len(heavy) >= 1 and max(r["_pieces"] for r in heavy) >= 2
     plain = joins.lookup_join(left, right, "k", how)
-    spread_out = joins.lookup_join(left, right, "k", how, heavy_from=left)
+    spread_out = joins.spread_join(left, right, "k", left, how)
     assert sorted(map(str, plain.collect())) == sorted(map(str, spread_out.collect()))
     assert plain.columns == spread_out.columns
 
@@ -100,7 +100,7 @@ def test_spreading_a_hot_key_changes_no_row(spark, spread, how):
 def test_hot_key_lands_in_several_tasks(spark, spread):
     left = spark.range(0, 4000, numPartitions=8).select(F.lit(1).cast("bigint").alias("k"), F.lit("copy").alias("v"))
     right = spark.createDataFrame([(1, "x")], "k bigint, w string")
-    joined = joins.lookup_join(left, right, "k", heavy_from=left)
+    joined = joins.spread_join(left, right, "k", left)
     tasks = joined.select(F.spark_partition_id().alias("p")).distinct().count()
     assert joined.count() == 4000 and tasks > 1
 
@@ -108,7 +108,7 @@ def test_hot_key_lands_in_several_tasks(spark, spread):
 def test_small_right_side_is_broadcast(spark):
     left = spark.range(1000).withColumnRenamed("id", "k")
     right = spark.range(10).withColumnRenamed("id", "k")
-    plan = joins.lookup_join(left, right, "k", heavy_from=left)._jdf.queryExecution().explainString(
+    plan = joins.lookup_join(left, right, "k")._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     )
     assert "BroadcastHashJoin" in plan and "_bucket" not in plan

@@ -41,12 +41,12 @@ def test_reconcile_compares_independent_totals(spark):
 
 
 def test_feature_audit(spark):
-    df = spark.createDataFrame([(1, 2)], "a int, review_score int")
-    assert rows(quality.audit_features(df, ["a"], {"a": "known"}, ["review_score"])) == [("a", True, "known")]
-    for features, rationale in ((["a", "review_score"], {"a": "", "review_score": ""}), (["a"], {}), (["z"], {"z": ""})):
+    df = spark.createDataFrame([(1, 2), (1, 3), (None, 4)], "a int, review_score int")
+    assert rows(quality.audit_features(df, ["a"], {"a": "orders"}, ["review_score"])) == [("a", "orders", 3, 1, 1, True)]
+    for features, source in ((["a", "review_score"], {"a": "", "review_score": ""}), (["a"], {}), (["z"], {"z": ""})):
         with pytest.raises(DataQualityError):
-            quality.audit_features(df, features, rationale, ["review_score"])
-    assert set(late_delivery.FEATURES) == set(late_delivery.RATIONALE) and len(late_delivery.FEATURES) == 21
+            quality.audit_features(df, features, source, ["review_score"])
+    assert set(late_delivery.FEATURES) == set(late_delivery.SOURCE) and len(late_delivery.FEATURES) == 21
 
 
 def test_requests_are_split_with_reasons(spark):
