@@ -21,7 +21,7 @@ from ..operators.evaluation import choose_model, error_metrics, residual_table,
 from ..operators.joins import union_all
 from ..operators.ranking import exact_quantiles
 from ..operators.timeseries import FEATURES, LAGS, MEAN_WINDOWS, STD_WINDOWS, calendar_features, expanding_folds, make_features
-from ..session import checkpointed
+from ..session import by_rows, checkpointed
 
 SERIES = "series"
 BASELINES = ("NaiveLastValue", "HistoricalMean", "SeasonalNaive7", "RollingMean7")
@@ -175,7 +175,8 @@ def fit_model(name: str, history: DataFrame, settings: ForecastSettings = Foreca
         )
     else:
         raise ValueError(f"unknown model: {name}")
-    rows = make_features(history, [SERIES]).persist()
+    rows = checkpointed(make_features(history, [SERIES]))
+    rows = by_rows(rows, rows.count()).persist()
     fitted = Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), regressor]).fit(rows)
     rows.unpersist()
     return fitted

@@ -44,7 +44,7 @@ from ..operators.evaluation import (
 from ..operators.joins import lookup_join
 from ..operators.quality import assert_domain, assert_grain, audit_features, refuse_features
 from ..operators.ranking import column_quantiles, distributed_rank, sample_exact, temporal_split, top_k
-from ..session import checkpointed
+from ..session import by_rows, checkpointed
 
 # Fixed lists: the feature names.
 NUMERIC = (
@@ -369,7 +369,7 @@ def fit_candidates(
         if scaled not in prepared:
             model = Pipeline(stages=build_preprocessor(train, scaled)).fit(train)
             frame = model.transform(train).withColumn("_weight", weight).select("features", TARGET, "_weight")
-            prepared[scaled] = (model, frame.persist())
+            prepared[scaled] = (model, by_rows(frame, rows).persist())
         preprocessing, frame = prepared[scaled]
         models[name] = PipelineModel([*preprocessing.stages, estimator.fit(frame)])
     for _, frame in prepared.values():

@@ -21,7 +21,7 @@ from ..operators.joins import with_scalar
 from ..operators.quality import DataQualityError, assert_domain, assert_grain
 from ..operators.ranking import exact_quantiles, quantile_bin, sample_exact, share_of_total
 from ..operators.statistics import crosstab_share, minmax, top_values_joined
-from ..session import checkpointed
+from ..session import by_rows, checkpointed
 
 RFM = ("recency", "frequency", "monetary")
 PERSON = "customer_unique_id"
@@ -96,8 +96,9 @@ class Prepared:
 
 
 def prepare(rfm: DataFrame) -> Prepared:
-    model = Pipeline(stages=preparation(rfm.count())).fit(rfm)
-    return Prepared(model, model.transform(rfm).select(*rfm.columns, "features").persist())
+    rows = rfm.count()
+    model = Pipeline(stages=preparation(rows)).fit(rfm)
+    return Prepared(model, by_rows(model.transform(rfm).select(*rfm.columns, "features"), rows).persist())
 
 
 def fit_clusters(prepared: Prepared, k: int, restarts: int = 20, seed: int = 42):

@@ -63,3 +63,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def by_rows(df: DataFrame, rows: int, per_partition: int = 50_000) -> DataFrame:
+    """Few enough partitions that each holds about ``per_partition`` rows: an
+    iterative fit runs many jobs, and each costs a task per partition."""
+    return df.coalesce(max(1, -(-rows // per_partition)))
