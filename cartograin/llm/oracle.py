@@ -96,3 +96,37 @@ SELECT conv_id, count(*) AS n_turns,
   sum(12 + length(role) + len(regexp_extract_all(role, '\\|\n|<\|')) + 1 + length(text) + len(regexp_extract_all(text, '<\\*\|')) + 11)::BIGINT AS formatted_chars
 FROM said GROUP BY conv_id
 """
+
+ORACLE["op3_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+ORACLE["op5_substring_dedup"] = rf"""
+WITH units AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS v FROM (SELECT *, unnest(range(1, n - 33)) AS i FROM units)),
+again AS (SELECT v FROM windows GROUP BY v HAVING count(*) > 1),
+starts AS (SELECT doc_id, i FROM windows JOIN again USING (v)),
+changes AS (SELECT doc_id, p, sum(d) AS d FROM (SELECT doc_id, i AS p, 1 AS d FROM starts UNION ALL SELECT doc_id, i + 35, -1 FROM starts) GROUP BY ALL),
+places AS (
+  SELECT u.*, p, coalesce(sum(c.d) OVER (PARTITION BY doc_id ORDER BY p), 0) > 0 AS gone
+  FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM units) u LEFT JOIN changes c USING (doc_id, p)),
+marked AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM places),
+rest AS (
+  SELECT doc_id, count(*) FILTER (gone) AS removed, count(*) FILTER (opens) AS spans, encode(string_agg(w[p], ' ' ORDER BY p) FILTER (NOT gone)) AS kept FROM marked GROUP BY doc_id)
+SELECT u.doc_id, n::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(coalesce(kept, ''::BLOB)) AS kept_sha256
+FROM units u LEFT JOIN rest r USING (doc_id)
+"""
+
