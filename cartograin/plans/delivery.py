@@ -20,7 +20,7 @@ from ..functions.expressions import (
     percent,
     punctuality,
 )
-from ..operators.joins import join_at_grain
+from ..operators.joins import join_at_grain, lookup_join
 
 PURCHASED, DELIVERED, PROMISED = (
     "order_purchase_timestamp",
@@ -38,7 +38,7 @@ def _average_days() -> Column:
 
 
 def delivery_summary(orders: DataFrame, customers: DataFrame, rules: StatusRules = DEFAULT_RULES) -> DataFrame:
-    known = orders.filter(is_delivered(rules)).join(customers.select("customer_id"), "customer_id", "left_semi")
+    known = lookup_join(orders.filter(is_delivered(rules)), customers.select("customer_id"), "customer_id", "left_semi")
     delay = days_between(PROMISED, DELIVERED)
     return known.agg(
         F.round(_average_days(), 2).alias("average_delivery_days"),

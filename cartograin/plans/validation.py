@@ -18,7 +18,7 @@ from ..operators.quality import (
     quality_profile,
 )
 
-# Primary keys, checked one by one.
+# Fixed list: primary keys, checked one by one.
 KEYS = {
     "customers": ["customer_id"],
     "orders": ["order_id"],
@@ -121,7 +121,7 @@ def anomaly_counts(orders_ds: DataFrame, items_ds: DataFrame, rules: StatusRules
 
 # --- request validation ---------------------------------------------------
 
-# Bounds of the scoring inputs: (column, lower, upper); None leaves a side open.
+# Bounds of the scoring inputs: (column, lower, upper); None leaves a side open.
 _BOUNDED = (
     ("purchase_month", 1, 12),
     ("purchase_day_of_week", 1, 7),

@@ -33,6 +33,21 @@ def query(name: str) -> Callable[[Callable[[Roles], DataFrame]], Callable[[Roles
     return register
 
 
+def run_suite(spark: SparkSession, folder: str, only: str | None = None) -> dict[str, DataFrame]:
+    """All queries in order of letter and number, or the one of the given name or
+    inventory id; an unknown name is refused with the list of choices."""
+
+    def place(name: str) -> tuple[str, int, str]:
+        first = name.partition("_")[0]
+        return first[0], int(first[1:]), name
+
+    ordered = sorted(REGISTRY, key=place)
+    chosen = [n for n in ordered if only is None or n == only or n.partition("_")[0] == only.lower()]
+    if not chosen:
+        raise ValueError(f"no query {only!r}; choices: {', '.join(ordered)}")
+    return {name: REGISTRY[name](spark, folder) for name in chosen}
+
+
 def tables(r: Roles) -> dict[str, DataFrame]:
     return {
         "customers": r.customers,
@@ -1145,7 +1160,8 @@ def _(r):
     stages = late_delivery.build_preprocessor(train_rows(split), scale_numeric=True)
     vectors = Pipeline(stages=stages).fit(train_rows(split)).transform(split)
     values = vector_to_array("features")
-    return vectors.select("order_id", F.size(values).alias("width"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"))
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    return rounded(vectors.select("order_id", F.size(values).alias("width"), total.alias("total")), 2)
 
 
 @query("k2_dummy_prior")

@@ -811,4 +811,21 @@ SQL["k2_dummy_prior"] = f"""
         SELECT *, row_number() OVER (ORDER BY purchase_timestamp, order_id) AS place, count(*) OVER () AS n FROM modeling))
     SELECT order_id, split, round((SELECT avg(is_late_delivery) FROM parts WHERE split = 'train'), 6) AS late_delivery_probability FROM parts"""
 
+# Imputed, standardised and one-hot encoded rows: width and sum of each vector.
+_PARTS = f"""(SELECT *, {_SPLIT} AS split FROM (
+        SELECT *, row_number() OVER (ORDER BY purchase_timestamp, order_id) AS place, count(*) OVER () AS n FROM modeling))"""
+_NUMBERS, _CLASSES = _FEATURES[:16], _FEATURES[16:]
+SQL["k1_preprocess"] = f"""
+    WITH parts AS {_PARTS},
+    middle AS (SELECT {", ".join(f"coalesce(quantile_cont({c}::DOUBLE, 0.5), 0) AS {c}" for c in _NUMBERS)} FROM parts WHERE split = 'train'),
+    filled AS (SELECT p.order_id, p.split, {", ".join(f"coalesce(p.{c}::DOUBLE, m.{c}) AS {c}" for c in _NUMBERS)},
+        {", ".join(f"coalesce({c}, (SELECT {c} FROM parts WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in _CLASSES)}
+        FROM parts p, middle m),
+    moments AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _NUMBERS)} FROM filled WHERE split = 'train'),
+    seen AS (SELECT {", ".join(f"list(DISTINCT {c}) AS {c}" for c in _CLASSES)} FROM filled WHERE split = 'train')
+    SELECT order_id, CAST(16 + {" + ".join(f"len(v.{c})" for c in _CLASSES)} AS INTEGER) AS width,
+        round({" + ".join(f"CASE WHEN s_{c} > 0 THEN (f.{c} - m_{c}) / s_{c} ELSE 0 END" for c in _NUMBERS)}
+        + {" + ".join(f"CAST(list_contains(v.{c}, f.{c}) AS INTEGER)" for c in _CLASSES)}, 2) AS total
+    FROM filled f, moments, seen v"""
+
 ORACLE: dict[str, str] = {name: with_roles(sql) for name, sql in SQL.items()}

@@ -101,3 +101,21 @@ def test_walk_forward_holdout_and_interval(history, tmp_path, spark):
     assert len(forecast) == 14 and all(0 <= r.lower_bound <= r.upper_bound for r in forecast)
     with pytest.raises(ValueError):
         M.generate_forecast({"both": loaded}, spread, 8)
+
+
+def test_training_reads_the_series_once(spark, history):
+    """A counter in the input sees each row once, however many folds and fits follow."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    targets = [r[0] for r in history.select("series").distinct().collect()]
+    small = M.ForecastSettings(trees=3, tree_depth=3, boosting_rounds=2, boosting_depth=2)
+    trained = M.train(history.mapInPandas(counted, history.schema), targets, ("LinearRegression",), small)
+    assert set(trained.selected) == set(targets) and trained.holdout.count() == 3 * len(targets)
+    forecast = M.generate_forecast(trained.artifacts, trained.spread, 7)
+    assert forecast.count() == 7 * len(targets)
+    assert seen.value == history.count()

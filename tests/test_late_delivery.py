@@ -39,13 +39,18 @@ def dataset(spark):
 SMALL = K.CandidateSettings(trees=5, tree_depth=4, boosting_rounds=3, boosting_depth=3)
 
 
-def test_training_chooses_and_scores(dataset):
+def test_training_chooses_and_scores(dataset, tmp_path):
     trained = K.train(dataset, SMALL)
     assert trained.name in ("LogisticRegression", "RandomForestClassifier", "GBTClassifier")
     assert trained.comparison.count() == 8 and 0.05 <= trained.threshold <= 0.80
     scored = K.predict_late_delivery(trained.model, dataset.select(*K.FEATURES), trained.threshold)
     assert scored.filter(~F.col("late_delivery_probability").between(0, 1)).count() == 0
     assert {r[0] for r in scored.select("risk_label").distinct().collect()} <= {"HIGH", "MEDIUM", "LOW"}
+    assert trained.importance.count() == 21
+    K.save(trained, str(tmp_path))
+    stored = K.predict_stored(str(tmp_path), dataset.select(*K.FEATURES))
+    kept = ["late_delivery_probability", "predicted_late_delivery", "risk_label"]
+    assert rows(stored.select(*kept), *kept) == rows(scored.select(*kept), *kept)
 
 
 def test_unseen_and_missing_values_are_scored(spark, dataset):

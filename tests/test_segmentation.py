@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from cartograin.operators.quality import DataQualityError
@@ -53,6 +54,37 @@ def test_training_finds_the_two_groups(rfm):
         L.predict_segment(trained.model, rfm.withColumn("monetary", F.lit(-1.0)), trained.names).collect()
 
 
+def test_training_is_gated_and_exported(spark, rfm, tmp_path):
+    trained = L.train(rfm, ks=range(2, 4), restarts=2)
+    L.export(trained, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "customers")).count() == 240
+    shares = spark.read.parquet(str(tmp_path / "rule_by_cluster"))
+    assert all(sum(r[1:]) == pytest.approx(1) for r in shares.collect())
+    again = L.predict_segment(PipelineModel.load(str(tmp_path / "model")), rfm, trained.names)
+    assert {(r.customer_unique_id, r.cluster_id) for r in again.collect()} == {(r.customer_unique_id, r.cluster_id) for r in trained.customers.collect()}
+    scaled = L.minmax_profile(trained.profiles).toPandas()
+    assert scaled["median_monetary"].min() == 0 and scaled["median_monetary"].max() == 1
+    for bad in (rfm.unionByName(rfm.limit(1)), rfm.withColumn("recency", F.lit(-1))):
+        with pytest.raises(DataQualityError):
+            L.train(bad, ks=range(2, 3), restarts=1)
+
+
+def test_full_silhouette_matches_its_definition(rfm):
+    prepared = L.prepare(rfm)
+    label = F.pmod(F.xxhash64("customer_unique_id"), F.lit(3)).cast("int")
+    labelled = prepared.frame.select("customer_unique_id", "features", label.alias("c3"))
+    found = L.full_silhouette(labelled, [3]).first().silhouette_score
+    pdf = labelled.toPandas()
+    x, c = np.array([v.toArray() for v in pdf["features"]]), pdf["c3"].to_numpy()
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    scores = []
+    for i in range(len(x)):
+        a = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1)
+        b = min(d[i, c == k].mean() for k in range(3) if k != c[i])
+        scores.append((b - a) / max(a, b))
+    assert found == pytest.approx(np.mean(scores))
+
+
 def test_silhouette_matches_its_definition(rfm):
     prepared = L.prepare(rfm)
     labelled = prepared.frame.select("customer_unique_id", "features", (F.xxhash64("customer_unique_id") % 3 + 2).alias("c3"))
