@@ -202,23 +202,29 @@ def error_summary(outcome: DataFrame, by: str | Sequence[str]) -> DataFrame:
     )
 
 
-def grouped_error_analysis(df: DataFrame, label: str, score: str, threshold: float) -> dict[str, DataFrame]:
-    """Tables by state, value band, category and month, and the first mistakes.
-    The scored rows are read once per table, so they are written once."""
-    outcome = checkpointed(
-        with_outcome(df, label, score, threshold).select(
-            "order_id",
-            "purchase_timestamp",
-            "purchase_month",
-            "customer_state",
-            "dominant_product_category",
-            "item_value",
-            "actual",
-            "predicted",
-            "error_type",
-        )
+ERROR_TABLES = ("state", "value_band", "category", "month", "examples")
+
+
+def grouped_error_analysis(
+    df: DataFrame, label: str, score: str, threshold: float, tables: Sequence[str] = ERROR_TABLES
+) -> dict[str, DataFrame]:
+    """Tables by state, value band, category and month, and the first mistakes,
+    as far as asked for. The scored rows are read once per table, so they are
+    written once if there are several."""
+    outcome = with_outcome(df, label, score, threshold).select(
+        "order_id",
+        "purchase_timestamp",
+        "purchase_month",
+        "customer_state",
+        "dominant_product_category",
+        "item_value",
+        "actual",
+        "predicted",
+        "error_type",
     )
-    banded = quantile_band(outcome, "item_value", 4, "value_band")
+    if len(tables) > 1 or "value_band" in tables:
+        outcome = checkpointed(outcome)
+    band = ["value_band", "value_band_lower", "value_band_upper"]
     mistakes = outcome.filter(F.col("error_type") != "correct").select(
         "order_id",
         "purchase_timestamp",
@@ -229,13 +235,14 @@ def grouped_error_analysis(df: DataFrame, label: str, score: str, threshold: flo
         "predicted",
         "error_type",
     )
-    return {
-        "state": error_summary(outcome, "customer_state"),
-        "value_band": error_summary(banded, ["value_band", "value_band_lower", "value_band_upper"]),
-        "category": error_summary(outcome, "dominant_product_category"),
-        "month": error_summary(outcome, "purchase_month"),
-        "examples": top_k(mistakes, ["purchase_timestamp", "order_id"], 100),
+    build = {
+        "state": lambda: error_summary(outcome, "customer_state"),
+        "value_band": lambda: error_summary(quantile_band(outcome, "item_value", 4, "value_band"), band),
+        "category": lambda: error_summary(outcome, "dominant_product_category"),
+        "month": lambda: error_summary(outcome, "purchase_month"),
+        "examples": lambda: top_k(mistakes, ["purchase_timestamp", "order_id"], 100),
     }
+    return {name: build[name]() for name in tables}
 
 
 # --- forecast errors ------------------------------------------------------

@@ -162,13 +162,25 @@ def quantile_bin(
     The rank ``r`` of ``n`` rows falls in bin ``ceil((r - 1) * bins / (n - 1))``,
     at least 1, which is where linear-interpolation edges of the ranks put it.
     """
-    ranked = distributed_rank(df, [F.col(value).asc_nulls_last(), F.col(tie)], "_rank")
-    size = ranked.agg(F.count(F.lit(1)).alias("_size"))
-    gaps = "greatest(_size - 1, 1L)"
-    number = F.greatest(F.lit(1), F.expr(f"((_rank - 1) * {bins} + {gaps} - 1) div {gaps}"))
-    if reverse:
-        number = F.lit(bins + 1) - number
-    return with_scalar(ranked, size).withColumn(name, number.cast("int")).drop("_rank", "_size")
+    gaps = F.greatest(F.col("_size") - 1, F.lit(0))
+    lasts = [F.floor(gaps * b / bins) + 1 for b in range(1, bins)]
+    number = _parts_by_rank(df, value, tie, lasts)
+    return number.withColumn(name, (F.lit(bins + 1) - F.col("_part") if reverse else F.col("_part")).cast("int")).drop("_part")
+
+
+def _parts_by_rank(df: DataFrame, value: str, tie: str, lasts: Sequence[Column]) -> DataFrame:
+    """``df`` with ``_part``: 1 plus the number of the given ranks (functions of ``_size``) that lie before the row.
+
+    Only (value, tie) is sorted. The rows at the given ranks come back as one row, and
+    every row of ``df`` is compared with them where it is.
+    """
+    place = F.struct(F.col(value).isNull().alias("n"), F.col(value).alias("v"), F.col(tie).alias("t"))
+    ranked = distributed_rank(df.select(value, tie), [F.col(value).asc_nulls_last(), F.col(tie)], "_rank")
+    sized = with_scalar(ranked, ranked.agg(F.count(F.lit(1)).alias("_size")))
+    edges = sized.agg(*[F.max(F.when(F.col("_rank") == last, place)).alias(f"_edge{i}") for i, last in enumerate(lasts)])
+    beyond = [F.coalesce(place > F.col(f"_edge{i}"), F.lit(True)).cast("int") for i in range(len(lasts))]
+    placed = with_scalar(df, edges).withColumn("_part", sum(beyond, F.lit(1)))
+    return placed.drop(*[f"_edge{i}" for i in range(len(lasts))])
 
 
 def temporal_split(
@@ -179,12 +191,9 @@ def temporal_split(
     name: str = "split",
 ) -> DataFrame:
     """Label rows train / validation / test by their place in time order."""
-    ranked = distributed_rank(df, [ts, key], "_rank")
-    size = ranked.agg(F.count(F.lit(1)).alias("_size"))
-    train_end = F.floor(F.col("_size") * F.lit(cuts[0]))
-    validation_end = F.floor(F.col("_size") * F.lit(cuts[1]))
-    label = F.when(F.col("_rank") <= train_end, "train").when(F.col("_rank") <= validation_end, "validation").otherwise("test")
-    return with_scalar(ranked, size).withColumn(name, label).drop("_rank", "_size")
+    parts = _parts_by_rank(df, ts, key, [F.floor(F.col("_size") * F.lit(cut)) for cut in cuts])
+    label = F.element_at(F.array(F.lit("train"), F.lit("validation"), F.lit("test")), F.col("_part"))
+    return parts.withColumn(name, label).drop("_part")
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:

@@ -987,7 +987,7 @@ def scored_features(r: Roles) -> DataFrame:
 
 
 def _errors(r: Roles, name: str) -> DataFrame:
-    return rounded(evaluation.grouped_error_analysis(scored_features(r), late_delivery.TARGET, "score", 0.55)[name])
+    return rounded(evaluation.grouped_error_analysis(scored_features(r), late_delivery.TARGET, "score", 0.55, (name,))[name])
 
 
 @query("k11_errors_by_state")
