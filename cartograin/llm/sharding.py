@@ -27,8 +27,8 @@ class Layout:
 
     shards: int = 40
     old_shards: int = 32
-    repairs: int = 2
-    grain: int = 8
+    repairs: int = 3
+    grain: int = 2
     seed: int = 29
 
 
