@@ -20,6 +20,7 @@ from cartograin.session import local_session  # noqa: E402
 HEADLINE = (
     "b3_duplicate_key_summary",
     "b5_orphan_counts",
+    "b8_quality_profile",
     "e1_business_overview",
     "e3_monthly_sales_growth",
     "e5_weekday_sales",
@@ -39,9 +40,12 @@ HEADLINE = (
     "e42_modeling_dataset",
     "e43_daily_series",
     "f15_hexbin_value_freight",
+    "f18_eda_metrics",
     "f20_spearman",
     "h10_temporal_split",
+    "k3_logistic",
     "k6_classification_metrics",
+    "k11_errors_by_value_band",
     "l2_rfm_segment",
     "m1_make_features",
     "m2_rolling_mean",
