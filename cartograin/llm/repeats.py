@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from . import lexing
 from .common import row_key, staged
 
-#: Occurrences above which an anchor's windows are counted by hash instead of sorted in a bucket.
-HOT = 5_000
+#: Occurrences above which an anchor's windows are counted by hash instead of sorted in a bucket:
+#: a bucket of this many runs (up to 6 MB of text, 1.4 million windows) sorts in about 100 MB.
+HOT = 20_000
 #: Bytes of payload that a task sorts at once (one bucket is never cut).
 SORTED_BYTES = 2 << 20
 #: Units of a text looked at in one go; longer texts are cut into overlapping sections.
@@ -239,7 +240,7 @@ def _run_batch(gathered: dict[tuple, list[int]], keys: list[tuple], begin: int)
 
 # --- step 3: buckets --------------------------------------------------------------------------------
 
-_RANGES = "ka bigint, kb int, begin int, n int"
+_RANGES = "ka bigint, kb int, begins array<int>, n int"
 
 
 def _sorted_buckets(shape: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -295,15 +296,10 @@ def _bucket_repeats(batch: pa.RecordBatch, shape: Windows) -> Iterator[pa.Record
     heads = np.flatnonzero(new)
     lengths = np.diff(np.append(heads, len(at)))
     owner, first = row[at[heads]], place[at[heads]]
-    times = np.array([len(s) for s in starts])
-    flat = np.concatenate([np.asarray(s, np.int64) for s in starts])
-    begins = np.concatenate([np.zeros(1, np.int64), np.cumsum(times)])
-    repeat = np.repeat(np.arange(len(owner)), times[owner])
-    within = np.arange(len(repeat)) - np.concatenate([np.zeros(1, np.int64), np.cumsum(times[owner])[:-1]])[repeat]
-    found = flat[begins[owner[repeat]] + within] + first[repeat]
-    a, b = (batch.column(c).to_numpy()[owner[repeat]] for c in ("ka", "kb"))
+    begins = [[s + int(f) for s in starts[o]] for o, f in zip(owner, first)]
+    a, b = (batch.column(c).to_numpy()[owner] for c in ("ka", "kb"))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(a), pa.array(b), pa.array(found, pa.int32()), pa.array(lengths[repeat], pa.int32())], names=["ka", "kb", "begin", "n"]
+        [pa.array(a), pa.array(b), pa.array(begins, pa.list_(pa.int32())), pa.array(lengths, pa.int32())], names=["ka", "kb", "begins", "n"]
     )
 
 
@@ -317,7 +313,7 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(texts: DataFrame, shape: Windows, hot: int = HOT) -> DataFrame:
-    """ka, kb, ranges: per text with a repeated window, ranges (begin, n) of starts of repeated windows. Written to the shared folder."""
+    """ka, kb, ranges: per text with a repeated window, ranges (begins, n): n starts of repeated windows from each of begins on. Written to the shared folder."""
     source = texts.select("ka", "kb", "text")
     anchors = source.mapInArrow(_anchor_rows(shape), "anchor bigint, ka bigint, kb int, times bigint")
     seeds = anchors.groupBy("anchor").agg(F.sum("times").alias("occurrences")).filter("occurrences > 1")
@@ -334,7 +330,7 @@ def repeated_ranges(texts: DataFrame, shape: Windows, hot: int = HOT) -> DataFra
 
     counted = runs.filter("hot").select("anchor", "ka", "kb", "starts")
     repeated = counted.groupBy("anchor").agg(F.sum(F.size("starts")).alias("times")).filter("times > 1").select("anchor")
-    by_hash = counted.join(repeated, "anchor").select("ka", "kb", F.explode("starts").alias("begin"), F.lit(1).alias("n"))
+    by_hash = counted.join(repeated, "anchor").select("ka", "kb", F.col("starts").alias("begins"), F.lit(1).alias("n"))
 
-    ranges = sorted_out.unionByName(by_hash).groupBy("ka", "kb").agg(F.collect_set(F.struct("begin", "n")).alias("ranges"))
+    ranges = sorted_out.unionByName(by_hash).groupBy("ka", "kb").agg(F.collect_list(F.struct("begins", "n")).alias("ranges"))
     return staged(ranges, "repeat-ranges")

@@ -28,8 +28,9 @@ def covered(ranges: list[dict], length: int, units: int) -> np.ndarray:
     """Units covered by windows that start in the ranges."""
     change = np.zeros(units + 1, np.int64)
     for r in ranges:
-        change[r["begin"]] += 1
-        change[min(units, r["begin"] + r["n"] - 1 + length)] -= 1
+        begins = np.asarray(r["begins"], np.int64)
+        np.add.at(change, begins, 1)
+        np.add.at(change, np.minimum(units, begins + r["n"] - 1 + length), -1)
     return np.cumsum(change[:units]) > 0
 
 
