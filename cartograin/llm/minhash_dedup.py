@@ -157,6 +157,8 @@ class _Links:
         if self.tested is not None:
             ordered = ordered.join(self.tested, ["a", "b"], "left_anti")
         ordered = staged(ordered, "near-pairs")
+        if ordered.isEmpty():
+            return
         self.tested = ordered if self.tested is None else self.tested.unionByName(ordered)
         left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -181,11 +183,15 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     nodes = members.filter("row = node").select("node", "key", "doc_id")
     tuples = signed.select(F.col("row").alias("node"), "us", "vs").join(nodes.select("node"), "node", "left_semi")
 
-    # Buckets by u alone: a star per bucket settles the clear groups.
+    # Buckets by u alone: a star per bucket settles the clear groups. Its centre is the member
+    # that meets most others over all its buckets, as the origin of a group of edited copies does.
     by_u = tuples.select("node", F.explode("us").alias("u"))
-    shared = by_u.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1")
-    by_u = staged(by_u.join(shared.select("u", "pivot"), "u"), "near-buckets")
-    star = by_u.filter("node != pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    shared = by_u.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    by_u = staged(by_u.join(shared, "u"), "near-buckets")
+    weights = staged(by_u.groupBy("node").agg(F.sum("n").alias("weight")), "near-weights")
+    central = F.max(F.struct("weight", (-F.col("node")).alias("m")))
+    centres = by_u.join(weights, "node").groupBy("u").agg((-central["m"]).alias("pivot"))
+    star = by_u.join(centres, "u").filter("node != pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
     star = staged(star, "near-star")
     wanted = by_u.select("node").distinct().join(nodes, "node")
     texts = _texts(source, wanted)
@@ -197,16 +203,16 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     # Tensored keys, for members of u-buckets that still hold two components.
     open_u = _open(links.labeled(by_u.select("node", "u"), "node", "label"), "u").select("node", "u")
     crossed = open_u.join(tuples.select("node", "vs"), "node").select("node", "u", F.explode("vs").alias("v"))
-    buckets = _open(links.labeled(crossed.select("node", F.xxhash64("u", "v").alias("bucket")), "node", "label"), "bucket").select("node", "bucket")
-    buckets = staged(buckets, "near-tensor")
+    crossed = crossed.select("node", F.xxhash64("u", "v").alias("bucket"))
+    buckets = staged(_different(_open(links.labeled(crossed, "node", "label"), "bucket")), "near-tensor").join(weights, "node")
     pivots = banding.pivots
     while not buckets.isEmpty():
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node"))
         heads = staged(buckets.withColumn("place", place).filter(F.col("place") <= pivots).select("bucket", F.col("node").alias("pivot")), "near-pivots")
         links.test(buckets.join(heads, "bucket").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
         # A pivot has met all of its bucket; the others go on while they are of two components.
         rest = buckets.join(heads.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        buckets = staged(_open(links.labeled(rest, "node", "label"), "bucket").select("node", "bucket"), "near-tensor")
+        buckets = staged(_different(_open(links.labeled(rest, "node", "label"), "bucket")), "near-tensor").join(weights, "node")
         pivots *= 4
 
     grouped = links.labeled(members, "node", "component")
@@ -223,6 +229,14 @@ def _open(rows: DataFrame, bucket: str) -> DataFrame:
     return rows.join(mixed, bucket)
 
 
+def _different(rows: DataFrame) -> DataFrame:
+    """node, bucket of one bucket for each set of members: others of the same members hold the same pairs."""
+    rows = rows.select("node", "bucket")
+    seal = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
+    kept = rows.groupBy("bucket").agg(*seal).groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return rows.join(kept, "bucket")
+
+
 def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of the wanted nodes; rows that are alike in doc_id and text give one."""
     keys = wanted.select("node", F.col("key.a").alias("ka"), F.col("key.b").alias("kb"))
