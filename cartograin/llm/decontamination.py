@@ -1,8 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-grams, then Smith-Waterman alignment.
 
 N-grams of the test items are looked for in every training text; around hits a passage is
-cut out. Seeds, the n-grams that are rare in the corpus, join passages to items; each
-pair is aligned word by word, so edited and paraphrased copies score as well.
+cut out. Every n-gram, however frequent, joins passages to items; each pair that can reach
+the score is aligned word by word, so edited and paraphrased copies score as well.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ _PUNCTUATION = bytes(32 if chr(b) in string.punctuation else b for b in range(25
 
 @dataclass(frozen=True)
 class Matching:
-    """``n`` words per seed. A seed is rare if at most ``rare`` passages hold it; each item keeps its
-    ``always`` rarest seeds whatever their number, so frequent leaks are found too. A pair is a leak when its
-    alignment reaches ``percent`` of the item's own score and ``min_words`` words (or all of a shorter item)."""
+    """``n`` words per n-gram. A pair is a leak when its alignment reaches ``percent`` of the item's own score and
+    ``min_words`` words (or all of a shorter item). ``rare`` and ``always`` only say which n-grams the result counts
+    as seeds: those that at most ``rare`` passages hold, and the ``always`` rarest of each item."""
 
     n: int = 3
     rare: int = 1_000
@@ -145,6 +145,37 @@ def align(items: list[str], passages: list[str], matching: Matching) -> tuple[np
     return best, place
 
 
+def reachable(items: list[str], passages: list[str], matching: Matching) -> np.ndarray:
+    """For each pair a score that its alignment cannot exceed, without the alignment.
+
+    An item word can match only if the passage holds it, an item word left out costs an
+    error, and so do two successive matches whose words are nowhere neighbours in the passage.
+    """
+    number: dict[str, int] = {}
+    left = [[number.setdefault(w, len(number)) for w in t.split()] for t in items]
+    right = [[number.setdefault(w, len(number)) for w in t.split()] for t in passages]
+    rows, size = len(items), max(len(number), 1)
+    a = np.full((rows, max(map(len, left), default=0)), -1, np.int64)
+    for i in range(rows):
+        a[i, : len(left[i])] = left[i]
+    pair = np.repeat(np.arange(rows), [len(r) for r in right])
+    word = pair * size + np.array([w for r in right for w in r], np.int64)
+    near = np.flatnonzero(pair[1:] == pair[:-1])
+    held = np.isin(np.arange(rows)[:, None] * size + a, word) & (a >= 0)
+    next_to = np.zeros_like(held)
+    couples = word[near] * size + word[near + 1] % size
+    next_to[:, 1:] = np.isin((np.arange(rows)[:, None] * size + a[:, :-1]) * size + a[:, 1:], couples)
+    error = max(0, -max(matching.mismatch, matching.gap))
+    # Best up to the last item word: if it matched, and if it was left out.
+    matched, passed, best = np.zeros((3, rows), np.int64)
+    for k in range(a.shape[1]):
+        on = np.maximum(matched - np.where(next_to[:, k], 0, error), passed)
+        passed = np.maximum(np.maximum(matched, passed) - error, 0)
+        matched = np.where(held[:, k], matching.match + np.maximum(on, 0), 0)
+        best = np.maximum(best, matched)
+    return best
+
+
 _SCORED = "doc_id bigint, key struct<a:bigint,b:int>, item_id bigint, item_words int, score int, ends_at int, seeds bigint"
 #: Cells of the alignment matrices held at once.
 CELLS = 1 << 21
@@ -154,6 +185,12 @@ def _aligned_rows(matching: Matching):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items, passages = batch.column("item_text").to_pylist(), batch.column("words").to_pylist()
+            full = batch.column("item_words").to_numpy()
+            needed = np.maximum(np.minimum(matching.min_words, full) * matching.match, 1)
+
+            def leak(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
+                return (score * 100 >= matching.percent * matching.match * full[rows]) & (score >= needed[rows])
+
             widths = np.array([p.count(" ") + 1 for p in passages])
             order = np.argsort(widths, kind="stable")
             begin = 0
@@ -162,18 +199,18 @@ def _aligned_rows(matching: Matching):
                 while end < len(order) and widths[order[end]] * (end + 1 - begin) <= CELLS:
                     end += 1
                 chosen = order[begin:end]
+                begin = end
+                chosen = chosen[leak(reachable([items[i] for i in chosen], [passages[i] for i in chosen], matching), chosen)]
+                if not len(chosen):
+                    continue
                 score, ends = align([items[i] for i in chosen], [passages[i] for i in chosen], matching)
                 part = batch.take(pa.array(chosen))
-                full = part.column("item_words").to_numpy()
-                needed = np.minimum(matching.min_words, full) * matching.match
-                leak = (score * 100 >= matching.percent * matching.match * full) & (score >= needed) & (score > 0)
                 ends_at = part.column("at").to_numpy() + ends
                 out = pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("doc_id", "key", "item_id", "item_words")] + [pa.array(score, pa.int32()), pa.array(ends_at, pa.int32()), part.column("seeds")],
                     names=["doc_id", "key", "item_id", "item_words", "score", "ends_at", "seeds"],
                 )
-                yield out.filter(pa.array(leak))
-                begin = end
+                yield out.filter(pa.array(leak(score, chosen)))
 
     return rows
 
@@ -183,12 +220,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, matching: Matching = Match
 
     ``score`` is the best alignment of the item with a passage of the document (``match``
     per word at most), ``ends_at`` the word at which it ends, ``seeds`` the seeds in that
-    passage. Null texts hold nothing; items without ``n`` words in a row have no seeds and
+    passage, 0 if it shares frequent n-grams only. Null texts hold nothing; items without ``n`` words in a row have no seeds and
     are not looked for; repeated rows give repeated results; repeated items are items of
     their own; other columns are not read.
 
     The filter on n-grams is a bit table of fixed size; it only spares work, and joins on
-    the n-grams themselves decide.
+    the n-grams themselves decide. A pair that shares one n-gram is aligned at any corpus
+    size, unless the words it shares cannot reach the score (``reachable``).
     """
     numbered = benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", "text")
     items = staged(numbered.mapInArrow(_item_rows(matching.n), _ITEMS), "leak-items")
@@ -208,8 +246,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, matching: Matching = Match
     often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("passages"))
     known = grams.join(often, "gram")
     place = F.row_number().over(Window.partitionBy("item").orderBy("passages", "gram"))
-    seeds = known.withColumn("place", place).filter((F.col("passages") <= matching.rare) | (F.col("place") <= matching.always)).select("item", "gram")
-    pairs = found.join(seeds, "gram").groupBy("passage", "item").agg(F.count(F.lit(1)).alias("seeds"))
+    seed = ((F.col("passages") <= matching.rare) | (F.col("place") <= matching.always)).cast("bigint")
+    shared = known.withColumn("place", place).select("item", "gram", seed.alias("seed"))
+    pairs = found.join(shared, "gram").groupBy("passage", "item").agg(F.sum("seed").alias("seeds"))
     texts = items.select("item", "item_id", F.col("n_words").alias("item_words"), F.col("words").alias("item_text"))
     read = pairs.join(texts, "item").join(passages.select("passage", "doc_id", "key", "at", "words"), "passage")
     scored = read.select("doc_id", "key", "item_id", "item", "item_words", "item_text", "at", "words", "seeds", "passage")

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from cartograin.llm.decontamination import Matching, align, leaks, without_leaks
+from cartograin.llm.decontamination import Matching, align, leaks, reachable, without_leaks
 
 from .conftest import HARD
 
@@ -61,6 +61,25 @@ def test_frequent_leaks_are_found_by_their_rarest_seeds(spark, documents):
     assert len(found) == 60 and {r.seeds for r in found} == {3}
 
 
+def test_parts_of_a_frequent_leak_are_found(spark, documents):
+    item = words("q", 59)
+    rows = [(i, f"p{i} r{i} {' '.join(item)} s{i}") for i in range(15)]
+    rows += [(100 + i, f"p{i} r{i} {' '.join(item[:35])} s{i}") for i in range(6)]
+    found = leaks(documents(rows), benchmark(spark, [(1, " ".join(item))]), Matching(rare=10)).collect()
+    assert {r.doc_id: (r.score, r.seeds) for r in found} == {**dict.fromkeys(range(15), (118, 16)), **dict.fromkeys(range(100, 106), (70, 0))}
+    assert without_leaks(documents(rows), benchmark(spark, [(1, " ".join(item))]), Matching(rare=10)).count() == 0
+
+
+def test_no_alignment_exceeds_what_is_reachable():
+    rng = random.Random(6)
+    pairs = [([rng.choice("abcdef") for _ in range(rng.randrange(0, 14))], [rng.choice("abcdefgh") for _ in range(rng.randrange(0, 20))]) for _ in range(2000)]
+    items, passages = [" ".join(a) for a, _ in pairs], [" ".join(b) for _, b in pairs]
+    for m in (Matching(), Matching(mismatch=-3, gap=-2)):
+        bound, (score, _) = reachable(items, passages, m), align(items, passages, m)
+        assert (bound >= score).all() and (bound < [m.match * len(a) for a, _ in pairs]).mean() > 0.5
+    assert reachable(["a b c d"], ["x a b y c d"], Matching()).tolist() == [7]
+
+
 def test_several_items_and_passages_in_one_long_text(spark, documents):
     a, b = words("a", 20), words("b", 25)
     filler = " ".join(words("f", 600))
