@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised and hashed; the distinct documents of a host that hold a line
-are counted; lines above the limits are removed; a document that keeps too little
-is rejected. Base rules on the text itself come first.
+are counted; lines above the limits are removed (``cleaned``); a document that keeps
+too little is rejected. Base rules on the text itself come first.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,8 +97,8 @@ def _block(texts: list[bytes]) -> list[pa.Array]:
     ]
 
 
-def _normal_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct normalised lines of each text: hash, words of all its occurrences, list offsets.
+def _line_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every line that holds a word: text, line number within the text, words, hash of the normalised line.
 
     Lower case, digits as 0, no ASCII punctuation, words joined by one space. A line
     that holds nothing but punctuation normalises to the empty line, whose words count.
@@ -125,6 +126,13 @@ def _normal_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     power = lexing.powers(int(place.max()) + 1 if len(place) else 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(normal.hash * power[place], dtype=np.uint64)])
     hashed = lexing.mix(sums[ends] - sums[begins] + (ends - begins).astype(np.uint64))
+    opening = np.searchsorted(breaks_raw, raw_bounds[text]) + text
+    return text, number - opening, count, hashed
+
+
+def _normal_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct normalised lines of each text: hash, words of all its occurrences, list offsets."""
+    text, _, count, hashed = _line_hashes(texts)
     order = np.lexsort((hashed, text))
     hashed, text, count = hashed[order], text[order], count[order]
     new = np.ones(len(hashed), bool)
@@ -157,22 +165,15 @@ def frequent_lines(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return joined.filter(F.col("documents") * 100 > F.col("host_documents") * limits.line_percent).drop("host_documents")
 
 
-def quality_rules(documents: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
-    """Verdict for every document row.
-
-    Columns: doc_id, key (identity of the row, see ``row_key``), the base measures,
-    base_failed, n_removed_words, n_removed_lines (distinct), kept. A null text has no
-    words and fails the base rules; a null host is a host of its own; rows that repeat
-    a doc_id are judged one by one; exact copies count once in line frequencies. Other
-    columns of the input are not read. An empty table gives an empty result.
-    """
+def _judged(documents: DataFrame, limits: Limits, host: str) -> DataFrame:
+    """One row per doc_id and key: how many rows they are, measures, verdict, hashes of the removed lines."""
     measured = features(documents, host)
     rare = frequent_lines(measured, limits)
     lines = measured.select("doc_id", "key", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("line"))
     lines = lines.select("doc_id", "key", "host", F.col("line.line_hash").alias("line_hash"), F.col("line.line_words").alias("words"))
     hit = null_safe_join(lines, rare, ["host", "line_hash"])
     # Identical rows hit together, so their sums are divided by their number below.
-    removed = hit.groupBy("doc_id", "key").agg(F.sum("words").alias("hit_words"), F.count(F.lit(1)).alias("hit_lines"))
+    removed = hit.groupBy("doc_id", "key").agg(F.sum("words").alias("hit_words"), F.count(F.lit(1)).alias("hit_lines"), F.collect_set("line_hash").alias("gone"))
     rows = measured.groupBy("doc_id", "key").agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.first(c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
@@ -183,7 +184,19 @@ def quality_rules(documents: DataFrame, limits: Limits = Limits(), host: str = "
     left = F.col("n_words") - F.col("n_removed_words")
     failed = (F.col("n_words") < limits.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeat_percent)
     depleted = (F.col("n_removed_words") > 0) & ((left < limits.min_words) | (left * 100 < F.col("n_words") * limits.left_percent))
-    judged = judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+
+
+def quality_rules(documents: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
+    """Verdict for every document row.
+
+    Columns: doc_id, key (identity of the row, see ``row_key``), the base measures,
+    base_failed, n_removed_words, n_removed_lines (distinct), kept. A null text has no
+    words and fails the base rules; a null host is a host of its own; rows that repeat
+    a doc_id are judged one by one; exact copies count once in line frequencies. Other
+    columns of the input are not read. An empty table gives an empty result.
+    """
+    judged = _judged(documents, limits, host)
     repeated = judged.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return repeated.select(
         "doc_id", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "n_removed_lines", "kept"
@@ -196,3 +209,30 @@ def without_rejected(documents: DataFrame, limits: Limits = Limits(), host: str
     keyed = documents.withColumn("_quality_key", row_key("doc_id", host, "text"))
     kept = kept.withColumnRenamed("key", "_quality_key")
     return null_safe_join(keyed, kept, ["doc_id", "_quality_key"]).select(*documents.columns)
+
+
+def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, gone = lexing.encoded(batch.column("text")), batch.column("_gone")
+        hit = np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False))
+        new = dict.fromkeys(range(len(texts)))
+        for i in hit:
+            _, number, _, hashed = _line_hashes([texts[i]])
+            out = set(number[np.isin(hashed.view(np.int64), gone[int(i)].values.to_numpy())].tolist())
+            new[i] = b"\n".join(line for k, line in enumerate(texts[i].split(b"\n")) if k not in out).decode()
+        kind = batch.schema.field("text").type
+        text = pc.if_else(gone.is_valid(), pa.array(list(new.values()), kind), batch.column("text"))
+        place = batch.schema.get_field_index("text")
+        yield batch.set_column(place, batch.schema.field("text"), text).drop_columns(["_gone"])
+
+
+def cleaned(documents: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
+    """The rows that the rules keep, their texts without the lines above the limits.
+
+    Lines with no word stay, as do all other columns; a stored length is not counted
+    again. The text of a row then holds n_words - n_removed_words words.
+    """
+    kept = _judged(documents, limits, host).filter("kept").select("doc_id", F.col("key").alias("_quality_key"), F.col("gone").alias("_gone"))
+    keyed = documents.withColumn("_quality_key", row_key("doc_id", host, "text"))
+    marked = null_safe_join(keyed, kept, ["doc_id", "_quality_key"]).select(*documents.columns, "_gone")
+    return marked.mapInArrow(_without_lines, documents.schema)

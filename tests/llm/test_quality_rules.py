@@ -1,4 +1,4 @@
-from cartograin.llm.quality_rules import Limits, frequent_lines, features, quality_rules, without_rejected
+from cartograin.llm.quality_rules import Limits, cleaned, frequent_lines, features, quality_rules, without_rejected
 
 from .conftest import HARD
 
@@ -36,6 +36,20 @@ def test_lines_above_the_limits_are_removed_and_depleted_documents_go(documents)
     assert kept.columns == documents(rows).columns and kept.count() == 51
 
 
+def test_cleaned_texts_hold_no_line_above_the_limits(documents):
+    menu = "Home | About | Contact us now today please friend"
+    rows = [(i, f"{menu.upper()}!\n{prose(i)}\n\n {menu}\nÉnd {letters(i)} x", "a") for i in range(30)]
+    rows += [(50, f"{menu}\n{prose(50)}", "b"), (51, prose(51), "a"), (51, prose(51), "a"), (52, f"{menu}\nfew words", "a"), (53, None, "a")]
+    rows += [(54, f"{prose(54)}\n{menu}\n", None)]
+    docs = documents(rows)
+    got, said = cleaned(docs), verdicts(quality_rules(docs))
+    assert got.columns == docs.columns
+    texts = sorted((r.doc_id, r.text) for r in got.collect())
+    assert texts == sorted([(i, f"{prose(i)}\n\nÉnd {letters(i)} x") for i in range(30)] + [(r[0], r[1]) for r in rows[30:33]] + [rows[-1][:2]])
+    assert all(len(t.split()) == said[i].n_words - said[i].n_removed_words for i, t in texts)
+    assert cleaned(docs.limit(0)).count() == 0
+
+
 def test_exact_copies_count_once(documents):
     rows = [(i, prose(0), "a") for i in range(50)]
     assert all(r.kept for r in quality_rules(documents(rows)).collect())
