@@ -34,7 +34,8 @@ class Limits:
 
     A line is removed when more than ``line_documents`` distinct documents of its
     host hold it and they are more than ``line_percent`` of the host's distinct
-    documents. A document is depleted when removal leaves fewer than ``min_words``
+    documents; with ``line_percent`` 0 the number alone decides, whatever the size of
+    the host. A document is depleted when removal leaves fewer than ``min_words``
     words or less than ``left_percent`` of them.
     """
 

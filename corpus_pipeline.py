@@ -13,13 +13,16 @@ from cartograin.llm.common import staged, table
 from cartograin.llm.decontamination import without_leaks
 from cartograin.llm.minhash_dedup import without_near_copies
 from cartograin.llm.mixing import mixed
-from cartograin.llm.quality_rules import without_rejected
+from cartograin.llm.quality_rules import Limits, without_rejected
 from cartograin.llm.sharding import sharded
 
+#: A line goes on its number of documents alone, so that a source may grow without excusing it.
+LIMITS = Limits(line_percent=0)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return without_rejected(docs)
+    return without_rejected(docs, LIMITS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -137,6 +137,15 @@ def test_pipeline(spark, folder):
     assert set(by_shard) <= set(range(40)) and all(sorted(v) == list(range(len(v))) for v in by_shard.values())
 
 
+@pytest.mark.parametrize("size", [100, 400])
+def test_boilerplate_is_found_in_a_source_of_any_size(spark, documents, size):
+    menu = "home news contact imprint terms privacy jobs press help search more"
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, " ".join(f"d{letters(i)}w{letters(j)}" for j in range(30))) for i in range(size)]
+    rows += [(1000 + i, f"{menu}\n" + " ".join(f"m{letters(i)}w{letters(j)}" for j in range(12))) for i in range(12)]
+    assert sorted(r.doc_id for r in corpus_pipeline.quality(spark, documents(rows), "").collect()) == list(range(size))
+
+
 def test_empty_documents(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
