@@ -1,5 +1,9 @@
 """Texts of known licences and notices, by SPDX identifier."""
 
+from pathlib import Path
+
+_HERE = Path(__file__).resolve().parent
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
@@ -141,18 +145,23 @@ OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWA
 
 For more information, please refer to <https://unlicense.org>""",
     ),
-    (
-        "Apache-2.0",
-        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
-License. You may obtain a copy of the License at
+]
 
-    http://www.apache.org/licenses/LICENSE-2.0
 
-Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
-"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
-language governing permissions and limitations under the License.""",
-    ),
-]
+def from_folder(folder: str | Path) -> list[tuple[str, str]]:
+    """Licences in a folder of files named by identifier (``MPL-2.0.txt``): each text, and its terms without an appendix.
+
+    The terms end with the line END OF TERMS AND CONDITIONS, which may be left out as well.
+    """
+    known = []
+    for path in sorted(Path(folder).glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, mark, _ = text.partition("END OF TERMS AND CONDITIONS")
+        known += [(path.stem, t) for t in ([text, terms + mark, terms] if mark else [text])]
+    return known
+
+
+LICENCES += from_folder(_HERE / "known_texts")
 
 #: Notices that are a line of their own: (identifier, text).
 NOTICES: list[tuple[str, str]] = [
@@ -169,3 +178,56 @@ NOTICES: list[tuple[str, str]] = [
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
 ]
+
+#: Every identifier of the SPDX list (spdx-license-ids 3.0.23), deprecated ones included.
+IDENTIFIERS = (_HERE / "spdx_identifiers.txt").read_text().split()
+
+#: The header of Apache-2.0, by the lines it is usually broken into.
+_APACHE_HEADER = [
+    'Licensed under the Apache License, Version 2.0 (the "License");',
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+    "http://www.apache.org/licenses/LICENSE-2.0",
+]
+
+_NAMES = {
+    "MIT": ["the MIT License"],
+    "ISC": ["the ISC License"],
+    "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0"],
+    "MPL-1.1": ["the Mozilla Public License, version 1.1", "the Mozilla Public License 1.1"],
+    "MPL-2.0": ["the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0"],
+}
+_GNU = [
+    ("GPL", "the GNU General Public License", ("1.0", "2.0", "3.0")),
+    ("LGPL", "the GNU Library General Public License", ("2.0",)),
+    ("LGPL", "the GNU Lesser General Public License", ("2.1", "3.0")),
+    ("AGPL", "the GNU Affero General Public License", ("3.0",)),
+]
+for _short, _name, _versions in _GNU:
+    for _version in _versions:
+        for _said in dict.fromkeys([_version.removesuffix(".0"), _version]):
+            _NAMES.setdefault(f"{_short}-{_version}-only", []).extend(f"{_name}{v} {_said}{only}" for v in (", version", "") for only in ("", " only"))
+            _NAMES.setdefault(f"{_short}-{_version}-or-later", []).extend(
+                f"{_name}{v} {_said}{later}"
+                for v in (", version", "")
+                for later in (" or later", ", or any later version", ", or (at your option) any later version")
+            )
+_TERMS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+for _id in IDENTIFIERS:
+    _kind, _, _version = _id.removeprefix("CC-").rpartition("-")
+    if _id.startswith("CC-BY") and _version in ("1.0", "2.0", "2.5", "3.0", "4.0") and set(_kind.split("-")) <= set(_TERMS):
+        _long = "-".join(_TERMS[t] for t in _kind.split("-"))
+        _scope = " International" if _version == "4.0" else " Unported" if _version == "3.0" else ""
+        _NAMES[_id] = [f"CC {_kind} {_version}", f"a Creative Commons {_long} {_version}{_scope} License", f"the Creative Commons {_long} {_version}{_scope} License"]
+
+NOTICES += [("Apache-2.0", line) for line in _APACHE_HEADER]
+NOTICES += [(i, f"SPDX-License-Identifier: {i}") for i in IDENTIFIERS]
+NOTICES += [
+    (i, f"{how} {name}.")
+    for i, names in _NAMES.items()
+    for name in names
+    for how in ("Released under", "Licensed under", "Distributed under", "This work is licensed under", "This file is licensed under")
+]
+NOTICES = list(dict.fromkeys(NOTICES))
