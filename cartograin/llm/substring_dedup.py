@@ -1,8 +1,8 @@
-"""Substring dedup on words: seed and extend.
+"""Substring dedup on words: winnowed anchors, window hashes sorted by bucket.
 
-Winnowed anchors are the seeds that join documents; each seed is extended both ways by
-every split of the words that a window of the threshold length has beside it; adjoining
-repeated windows merge into maximal repeats, and the words they cover are removed.
+Winnowed anchors that occur again deal the windows of the threshold length around them to
+buckets; equal window hashes in a bucket are repeats. No match is extended and no pair of
+documents joined; adjoining repeated windows merge, and the words they cover are removed.
 """
 
 from __future__ import annotations
