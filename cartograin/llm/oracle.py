@@ -130,3 +130,39 @@ SELECT u.doc_id, n::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed
 FROM units u LEFT JOIN rest r USING (doc_id)
 """
 
+
+
+def _nearest(codebook: str, name: str) -> str:
+    """Nearest entry of every part, ties to the lower index, as (vec, part, x, entry, d)."""
+    distance = "list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""{name} AS MATERIALIZED (
+  SELECT vec, part, any_value(x) AS x, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT v.vec, v.part, v.x, c.entry, {distance}::BIGINT AS d FROM cut v JOIN {codebook} c USING (part)) GROUP BY vec, part)"""
+
+
+def _moved(codebook: str, assigned: str, name: str) -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT o.part, o.entry, coalesce(n.x, o.x) AS x FROM {codebook} o LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(total::DOUBLE / n) AS BIGINT) ORDER BY place) AS x
+    FROM (SELECT part, best.entry AS entry, place, sum(x[place]) AS total, count(*) AS n FROM {assigned}, (SELECT unnest(range(1, width + 1)) AS place FROM shape) GROUP BY ALL)
+    GROUP BY ALL) n USING (part, entry))"""
+
+
+ORACLE["op11_vector_codes"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS vec, vec_id, label, list_transform(embedding, lambda e: CAST(floor(256 * e::DOUBLE) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+shape AS (SELECT (len(x) // 16)::BIGINT AS width FROM kept WHERE vec = 1),
+cut AS MATERIALIZED (
+  SELECT vec, part, x[part * width + 1:part * width + width] AS x FROM kept, shape, (SELECT unnest(range(16)) AS part) WHERE len(x) = 16 * width),
+c0 AS (SELECT part, vec - 1 AS entry, x FROM cut WHERE vec <= 64),
+{_nearest("c0", "a0")},
+{_moved("c0", "a0", "c1")},
+{_nearest("c1", "a1")},
+{_moved("c1", "a1", "c2")},
+{_nearest("c2", "a2")},
+coded AS (SELECT vec, string_agg(lower(format('{{:02x}}', best.entry)), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a2 GROUP BY vec),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256, label
+FROM kept JOIN coded USING (vec), digest
+"""
