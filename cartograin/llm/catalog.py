@@ -17,6 +17,7 @@ from .quality_rules import quality_rules
 from .sharding import shard_report
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .token_alignment import Tokenizers, token_alignment
 from .token_counts import Vocabulary, token_counts
 from .vector_codes import vector_codes
 
@@ -88,6 +89,14 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = Tokenizers.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment(table(spark, sf_dir, "documents"), files)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
