@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import chat_digests, format_chats, turn_records
 from .common import table
 from .decontamination import leaks
+from .language_model import language_model_scores
 from .licences import licence_scan
 from .minhash_dedup import minhash_dedup
 from .mixing import mix_report
@@ -89,6 +90,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
