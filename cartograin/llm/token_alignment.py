@@ -29,7 +29,7 @@ from .runs import first_of, pack, pack_sorted, ranges, unpack, unpack_sorted
 from .token_counts import byte_symbols
 
 #: Text bytes in a block, partitions by A id, runs that one merge reads at most (about).
-BLOCK_BYTES, RADIX, FAN = 6 << 20, 64, 256
+BLOCK_BYTES, RADIX, FAN = 2 << 20, 64, 512
 #: Links above which a group's pairs are counted by distinct ids.
 WIDE_GROUP = 1 << 20
 #: Scripts in which both readers of the pattern that cuts A's words agree on letters, digits and space.
@@ -86,10 +86,11 @@ class _Pair:
         #: Separator and number of a token, by its place in a group.
         self.written = [*first, *other, *first_b, *other_b]
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and B; none for a text whose bytes either does not give back."""
+        none = np.zeros(0, np.int32)
         if not text:
-            return [], []
+            return none, none
         spaced = " " + text
         if self._fast is not None and _SETTLED.fullmatch(text):
             a = self._fast.encode_ordinary(spaced)
@@ -98,7 +99,7 @@ class _Pair:
         b = self._b.encode(text)
         raw = spaced.encode()
         whole = all(b"".join(map(table.__getitem__, ids)) == raw for table, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        return (a, b) if whole else ([], [])
+        return (np.array(a, np.int32), np.array(b, np.int32)) if whole else (none, none)
 
 
 @functools.lru_cache(maxsize=1)
@@ -125,10 +126,10 @@ def _order(a: np.ndarray, size_a: int) -> np.ndarray:
     return (a % RADIX) * -(-size_a // RADIX) + a // RADIX
 
 
-def align(pair: _Pair, encoded: list[tuple[list[int], list[int]]]) -> Aligned:
+def align(pair: _Pair, encoded: list[tuple[np.ndarray, np.ndarray]]) -> Aligned:
     docs, size_b = len(encoded), len(pair.bytes_b)
     n_a, n_b = (np.array([len(e[k]) for e in encoded], np.int64) for k in (0, 1))
-    a, b = (np.fromiter((i for e in encoded for i in e[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
+    a, b = (np.concatenate([np.zeros(0, np.int64), *[e[k] for e in encoded]]) for k in (0, 1))
     end_a, end_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
     # Documents give as many bytes on both sides, so their ends are common ends.
     common_a = np.isin(end_a, end_b, assume_unique=True)
