@@ -1,33 +1,36 @@
 """Daily forecasting of many series at once.
 
-Frames are ``(series, date, value)``, dense by day. Baselines are closed forms
-over one row per series; fitted models step through the horizon with the last
-28 values of every series as state, all series in parallel.
+Frames are ``(series, date, value)``, dense by day; a backtest adds the fold to the
+series as key. Baselines are closed forms over one row per key; fitted models step
+through the horizon with the last 28 values of every key as state. All models of all
+keys are fitted in one job and forecast in another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.evaluation import choose_model, error_metrics, residual_table, summarize_backtest
+from ..operators.ensembles import BOOSTED, FOREST, LINEAR, EnsembleSettings, Predictor, fit_groups
 from ..operators.joins import union_all
 from ..operators.ranking import exact_quantiles
 from ..operators.timeseries import FEATURES, LAGS, MEAN_WINDOWS, STD_WINDOWS, calendar_features, expanding_folds, make_features
-from ..session import by_rows, checkpointed
+from ..session import checkpointed
 
 SERIES = "series"
 BASELINES = ("NaiveLastValue", "HistoricalMean", "SeasonalNaive7", "RollingMean7")
 HORIZONS = (7, 14, 30)
 HISTORY = 28
-STEPS_PER_CHECKPOINT = 10
+MODELS = (LINEAR, FOREST, BOOSTED)
+ForecastSettings = EnsembleSettings
 
 
 def to_series(daily: DataFrame, columns: Sequence[str] = ("daily_orders", "daily_revenue")) -> DataFrame:
@@ -36,14 +39,14 @@ def to_series(daily: DataFrame, columns: Sequence[str] = ("daily_orders", "daily
     return daily.select("date", F.explode(pairs).alias("p")).select(F.col("p.s").alias(SERIES), "date", F.col("p.v").alias("value"))
 
 
-def series_state(history: DataFrame) -> DataFrame:
-    """One row per series: first and last day, mean, and the last 28 values in
+def series_state(history: DataFrame, by: Sequence[str] = (SERIES,)) -> DataFrame:
+    """One row per key: first and last day, mean, and the last 28 values in
     date order (fewer for a shorter series)."""
-    last = F.max("date").over(W.partitionBy(SERIES))
+    last = F.max("date").over(W.partitionBy(*by))
     recent = F.when(F.datediff("_last", "date") < HISTORY, F.struct("date", "value"))
     return (
         history.withColumn("_last", last)
-        .groupBy(SERIES)
+        .groupBy(*by)
         .agg(
             F.min("date").alias("origin"),
             F.max("date").alias("last_date"),
@@ -71,17 +74,17 @@ def _array_std(values: Column, width: int) -> Column:
     return F.sqrt(_array_sum(squares) / F.lit(float(width - 1)))
 
 
-def _exploded(state: DataFrame, predictions: Column) -> DataFrame:
-    return state.select(SERIES, "last_date", F.posexplode(predictions).alias("_at", "predicted")).select(
-        SERIES,
+def _exploded(state: DataFrame, predictions: Column, by: Sequence[str]) -> DataFrame:
+    return state.select(*by, "last_date", F.posexplode(predictions).alias("_at", "predicted")).select(
+        *by,
         (F.col("_at") + 1).alias("step"),
         F.date_add("last_date", F.col("_at") + 1).alias("date"),
         "predicted",
     )
 
 
-def baseline_forecast(name: str, state: DataFrame, horizon: int) -> DataFrame:
-    """(series, step, date, predicted) for the days after each series' end."""
+def baseline_forecast(name: str, state: DataFrame, horizon: int, by: Sequence[str] = (SERIES,)) -> DataFrame:
+    """(key, step, date, predicted) for the days after each series' end."""
     steps = F.sequence(F.lit(1), F.lit(horizon))
     zero = F.lit(0.0)
     hist = F.col("hist")
@@ -100,86 +103,78 @@ def baseline_forecast(name: str, state: DataFrame, horizon: int) -> DataFrame:
         values = F.slice(grown, 8, horizon)
     else:
         raise ValueError(f"unknown baseline: {name}")
-    return _exploded(state, values)
+    return _exploded(state, values, by)
 
 
-def next_features(date: Column) -> dict[str, Column]:
-    """The training features for the day after ``hist``."""
-    hist = F.col("hist")
-    columns = {f"lag_{k}": F.element_at(hist, -k) for k in LAGS}
-    columns |= {f"rolling_mean_{w}": _array_mean(hist, w) for w in MEAN_WINDOWS}
-    columns |= {f"rolling_std_{w}": _array_std(hist, w) for w in STD_WINDOWS}
-    return columns | calendar_features(date, F.col("origin"))
-
-
-def recursive_forecast(model: PipelineModel, state: DataFrame, horizon: int) -> DataFrame:
-    """Predict a day, clamp at zero, append it to the state, go on. Series with
-    less than 28 days of history cannot be featured and are refused."""
-    short = F.size("hist") < HISTORY
-    hist = F.when(short, F.raise_error(F.lit(f"a series has less than {HISTORY} days"))).otherwise(F.col("hist"))
-    current = state.withColumn("hist", hist).withColumn("_out", F.array().cast("array<double>"))
-    kept = [SERIES, "origin", "last_date", "hist", "_out"]
-    current = checkpointed(current.select(*kept))
-    for step in range(1, horizon + 1):
-        featured = current.withColumns(next_features(F.date_add("last_date", step)))
-        value = F.greatest(F.lit(0.0), F.col("prediction"))
-        current = model.transform(featured).select(
-            SERIES,
-            "origin",
-            "last_date",
-            F.slice(F.concat("hist", F.array(value)), -HISTORY, HISTORY).alias("hist"),
-            F.concat("_out", F.array(value)).alias("_out"),
-        )
-        if step % STEPS_PER_CHECKPOINT == 0 and step < horizon:
-            current = checkpointed(current)
-    return _exploded(current, F.col("_out"))
-
-
-@dataclass(frozen=True)
-class ForecastSettings:
-    """Sizes of the candidate models."""
-
-    trees: int = 250
-    tree_depth: int = 14
-    tree_min_rows: int = 3
-    boosting_rounds: int = 200
-    boosting_rate: float = 0.06
-    boosting_depth: int = 5
-    seed: int = 42
-
-
-MODELS = ("LinearRegression", "RandomForestRegressor", "GBTRegressor")
-
-
-def fit_model(name: str, history: DataFrame, settings: ForecastSettings = ForecastSettings()) -> PipelineModel:
-    """One model over the training rows of all series in ``history``."""
-    columns = {"featuresCol": "features", "labelCol": "target"}
-    if name == "LinearRegression":
-        regressor = LinearRegression(regParam=0.0, **columns)
-    elif name == "RandomForestRegressor":
-        regressor = RandomForestRegressor(
-            numTrees=settings.trees,
-            maxDepth=settings.tree_depth,
-            minInstancesPerNode=settings.tree_min_rows,
-            featureSubsetStrategy="all",
-            seed=settings.seed,
-            **columns,
-        )
-    elif name == "GBTRegressor":
-        regressor = GBTRegressor(
-            maxIter=settings.boosting_rounds,
-            stepSize=settings.boosting_rate,
-            maxDepth=settings.boosting_depth,
-            seed=settings.seed,
-            **columns,
-        )
-    else:
-        raise ValueError(f"unknown model: {name}")
-    rows = checkpointed(make_features(history, [SERIES]))
-    rows = by_rows(rows, rows.count()).persist()
-    fitted = Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), regressor]).fit(rows)
-    rows.unpersist()
-    return fitted
+def next_features(hist: list[float], day: date, origin: date) -> list[float]:
+    """The training features, in the order of ``FEATURES``, of the day after ``hist``."""
+    recent = np.array(hist[-HISTORY:])
+    values = [recent[-k] for k in LAGS]
+    values += [recent[-w:].mean() for w in MEAN_WINDOWS]
+    values += [recent[-w:].std(ddof=1) for w in STD_WINDOWS]
+    weekday = day.weekday()
+    return [*values, weekday, day.day, day.month, (day.month + 2) // 3, day.isocalendar().week, weekday >= 5, (day - origin).days]
+
+
+def fit_models(history: DataFrame, names: Sequence[str], settings: ForecastSettings = ForecastSettings(), by: Sequence[str] = (SERIES,)) -> DataFrame:
+    """The named models of every key, written once: (key, model, tree, nodes)."""
+    rows = make_features(history, list(by))
+    return checkpointed(fit_groups(rows, list(by), "date", FEATURES, "target", names, settings))
+
+
+def fit_model(name: str, history: DataFrame, settings: ForecastSettings = ForecastSettings()) -> DataFrame:
+    """One model for each series in ``history``."""
+    return fit_models(history, (name,), settings)
+
+
+def model_forecast(fits: DataFrame, state: DataFrame, horizon: int, by: Sequence[str] = (SERIES,)) -> DataFrame:
+    """(key, model, step, date, predicted): predict a day, clamp at zero, append it to
+    the state, go on. Series with less than 28 days of history cannot be featured and
+    are refused. A task holds the models of one key."""
+    keys = list(by)
+
+    def steps(fitted: pa.Table, ends: pa.Table) -> pa.Table:
+        out = {c: [] for c in ("model", "step", "date", "predicted")}
+        if fitted.num_rows and ends.num_rows:
+            end = ends.to_pylist()[0]
+            if len(end["hist"]) < HISTORY:
+                raise ValueError(f"a series has less than {HISTORY} days")
+            predict = Predictor(fitted)
+            for name in predict.models:
+                hist = list(end["hist"])
+                for step in range(1, horizon + 1):
+                    day = end["last_date"] + timedelta(step)
+                    value = max(0.0, float(predict(name, np.array([next_features(hist, day, end["origin"])], float))[0]))
+                    hist.append(value)
+                    for column, cell in zip(out, (name, step, day, value)):
+                        out[column].append(cell)
+        first = {c: [ends.column(c)[0].as_py()] * len(out["step"]) if ends.num_rows else [] for c in keys}
+        fields = [*(ends.schema.field(c) for c in keys), ("model", pa.string()), ("step", pa.int32()), ("date", pa.date32()), ("predicted", pa.float64())]
+        return pa.table({**first, **out}, schema=pa.schema(fields))
+
+    kinds = dict(state.dtypes)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in keys), "model string, step int, date date, predicted double"])
+    ends = state.select(*keys, "origin", "last_date", "hist")
+    return fits.groupBy(*keys).cogroup(ends.groupBy(*keys)).applyInArrow(steps, schema)
+
+
+def recursive_forecast(model: DataFrame, state: DataFrame, horizon: int) -> DataFrame:
+    """``model_forecast`` of one model: (series, step, date, predicted)."""
+    return model_forecast(model, state, horizon).drop("model")
+
+
+def fitted_values(fits: DataFrame, history: DataFrame) -> DataFrame:
+    """(series, model, date, actual, predicted) over the training rows."""
+    rows = make_features(history, [SERIES]).select(SERIES, "date", "target", F.array(*[F.col(f).cast("double") for f in FEATURES]).alias("x"))
+
+    def values(fitted: pa.Table, own: pa.Table) -> pa.Table:
+        predict = Predictor(fitted)
+        x = np.array(own.column("x").to_pylist(), float).reshape(own.num_rows, -1)
+        plain = own.select([SERIES, "date", "target"]).rename_columns([SERIES, "date", "actual"])
+        tables = [plain.append_column("model", pa.array([n] * own.num_rows)).append_column("predicted", pa.array(predict(n, x))) for n in predict.models]
+        return pa.concat_tables(tables).select([SERIES, "model", "date", "actual", "predicted"])
+
+    return fits.groupBy(SERIES).cogroup(rows.groupBy(SERIES)).applyInArrow(values, f"{SERIES} string, model string, date date, actual double, predicted double")
 
 
 @dataclass
@@ -188,7 +183,7 @@ class Artifact:
 
     name: str
     history: DataFrame
-    model: PipelineModel | None = None
+    model: DataFrame | None = None
 
     def forecast(self, horizon: int) -> DataFrame:
         state = series_state(self.history)
@@ -200,13 +195,13 @@ class Artifact:
         """Model (if any) and history side by side under ``path``."""
         self.history.withColumn("model_name", F.lit(self.name)).write.mode("overwrite").parquet(f"{path}/history")
         if self.model is not None:
-            self.model.write().overwrite().save(f"{path}/model")
+            self.model.write.mode("overwrite").parquet(f"{path}/model")
 
 
 def load_artifact(spark, path: str) -> Artifact:
     stored = spark.read.parquet(f"{path}/history")
     name = stored.select("model_name").first()["model_name"]
-    model = None if name in BASELINES else PipelineModel.load(f"{path}/model")
+    model = None if name in BASELINES else spark.read.parquet(f"{path}/model")
     return Artifact(name, stored.drop("model_name"), model)
 
 
@@ -224,25 +219,46 @@ def walk_forward(
 ) -> DataFrame:
     """Out-of-sample predictions of every baseline and model on each fold:
     (series, fold, model, step, date, actual, predicted)."""
-    folds = expanding_folds(series, [SERIES], "date", holdout, fold, count)
-    parts = None
-    for number in range(1, count + 1):
-        cut = folds.filter(F.col("fold") == number).select(SERIES, "train_end")
-        history = series.join(cut, SERIES).filter(F.col("date") <= F.col("train_end")).select(*series.columns)
-        state = series_state(history)
-        forecasts = [(name, baseline_forecast(name, state, fold)) for name in BASELINES]
-        forecasts += [(name, recursive_forecast(fit_model(name, history, settings), state, fold)) for name in models]
-        for name, frame in forecasts:
-            labelled = frame.select(SERIES, F.lit(number).alias("fold"), F.lit(name).alias("model"), "step", "date", "predicted")
-            parts = labelled if parts is None else parts.unionByName(labelled)
+    folds = expanding_folds(series, [SERIES], "date", holdout, fold, count).select(SERIES, "fold", "train_end")
+    key = [SERIES, "fold"]
+    history = checkpointed(series.join(folds, SERIES).filter(F.col("date") <= F.col("train_end")).select(*key, "date", "value"))
+    forecasts = _forecasts(history, [*BASELINES, *models], settings, fold, key)
     actual = series.select(SERIES, "date", F.col("value").alias("actual"))
-    return parts.join(actual, [SERIES, "date"]).select(SERIES, "fold", "model", "step", "date", "actual", "predicted")
+    return forecasts.join(actual, [SERIES, "date"]).select(SERIES, "fold", "model", "step", "date", "actual", "predicted")
+
+
+def _forecasts(history: DataFrame, names: Sequence[str], settings: ForecastSettings, horizon: int, key: Sequence[str]) -> DataFrame:
+    """(key, model, step, date, predicted) of baselines and models alike."""
+    state = series_state(history, key)
+    columns = [*key, "model", "step", "date", "predicted"]
+    parts = [baseline_forecast(n, state, horizon, key).withColumn("model", F.lit(n)).select(*columns) for n in names if n in BASELINES]
+    fitted = [n for n in names if n not in BASELINES]
+    if fitted:
+        parts.append(model_forecast(fit_models(history, fitted, settings, key), state, horizon, key).select(*columns))
+    return union_all(*parts)
 
 
 def backtest_metrics(predictions: DataFrame) -> DataFrame:
     return error_metrics(predictions, [SERIES, "model", "fold"])
 
 
+def holdout_predictions(series: DataFrame, names: Sequence[str], settings: ForecastSettings = ForecastSettings(), holdout: int = 30) -> DataFrame:
+    """Forecasts of the last ``holdout`` days from what lies before them:
+    (series, model, step, date, actual, predicted)."""
+    last = F.max("date").over(W.partitionBy(SERIES))
+    marked = series.withColumn("_left", F.datediff(last, "date"))
+    history = checkpointed(marked.filter(F.col("_left") >= holdout).select(*series.columns))
+    actual = marked.filter(F.col("_left") < holdout).select(SERIES, "date", F.col("value").alias("actual"))
+    forecast = _forecasts(history, names, settings, holdout, [SERIES])
+    return forecast.join(actual, [SERIES, "date"]).select(SERIES, "model", "step", "date", "actual", "predicted")
+
+
+def holdout_metrics(predictions: DataFrame, by: Sequence[str] = (SERIES,), horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """Measures for each prefix of the holdout."""
+    prefixes = F.explode(F.filter(F.array(*[F.lit(h) for h in horizons]), lambda h: F.col("step") <= h))
+    return error_metrics(predictions.withColumn("horizon", prefixes), [*by, "horizon"])
+
+
 def holdout_evaluation(
     series: DataFrame,
     name: str,
@@ -252,15 +268,8 @@ def holdout_evaluation(
 ) -> tuple[DataFrame, DataFrame]:
     """Fit before the last ``holdout`` days; measures for each prefix, and the
     residual table."""
-    last = F.max("date").over(W.partitionBy(SERIES))
-    marked = series.withColumn("_left", F.datediff(last, "date"))
-    history = marked.filter(F.col("_left") >= holdout).select(*series.columns)
-    actual = marked.filter(F.col("_left") < holdout).select(SERIES, "date", F.col("value").alias("actual"))
-    forecast = fit_artifact(name, history, settings).forecast(holdout)
-    compared = forecast.join(actual, [SERIES, "date"])
-    prefixes = F.explode(F.filter(F.array(*[F.lit(h) for h in horizons]), lambda h: F.col("step") <= h))
-    metrics = error_metrics(compared.withColumn("horizon", prefixes), [SERIES, "horizon"])
-    return metrics, residual_table(compared, [SERIES])
+    compared = checkpointed(holdout_predictions(series, (name,), settings, holdout).drop("model"))
+    return holdout_metrics(compared, (SERIES,), horizons), residual_table(compared, [SERIES])
 
 
 def residual_quantiles(predictions: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
@@ -331,18 +340,17 @@ def train(
 
     The series is written once; every fold and fit reads that."""
     series = checkpointed(series.filter(F.col(SERIES).isin(*targets)))
-    selected, artifacts, collected = {}, {}, {"comparison": [], "holdout": [], "residuals": [], "spread": []}
-    for target in targets:
-        one = series.filter(F.col(SERIES) == target)
-        predictions = checkpointed(walk_forward(one, models, settings))
-        metrics = backtest_metrics(predictions)
-        summary = summarize_backtest(metrics, [SERIES, "model"])
-        name = choose_model(summary, [SERIES]).first()["model"]
-        measured, residuals = holdout_evaluation(one, name, settings)
-        selected[target] = name
-        artifacts[target] = fit_artifact(name, one, settings)
-        collected["comparison"].append(metrics)
-        collected["holdout"].append(measured)
-        collected["residuals"].append(residuals)
-        collected["spread"].append(residual_quantiles(predictions.filter(F.col("model") == name)))
-    return TrainedForecast(selected, artifacts, **{key: union_all(*frames) for key, frames in collected.items()})
+    predictions = checkpointed(walk_forward(series, models, settings))
+    metrics = backtest_metrics(predictions)
+    # One row per series.
+    winners = choose_model(summarize_backtest(metrics, [SERIES, "model"]), [SERIES]).collect()
+    selected = {r[SERIES]: r["model"] for r in winners}
+    measured, residuals = [], []
+    for name in sorted(set(selected.values())):
+        own = series.filter(F.col(SERIES).isin(*[t for t, n in selected.items() if n == name]))
+        one, table = holdout_evaluation(own, name, settings)
+        measured.append(one)
+        residuals.append(table)
+    artifacts = {t: fit_artifact(selected[t], series.filter(F.col(SERIES) == t), settings) for t in targets}
+    chosen = predictions.join(F.broadcast(series.sparkSession.createDataFrame(list(selected.items()), f"{SERIES} string, model string")), [SERIES, "model"])
+    return TrainedForecast(selected, artifacts, metrics, union_all(*measured), union_all(*residuals), residual_quantiles(chosen))

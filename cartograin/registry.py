@@ -1276,31 +1276,23 @@ def written_series(r: Roles) -> DataFrame:
     return checkpointed(order_series(r))
 
 
-def each_target(series: DataFrame):
-    """Name and rows of each series: the order series are two by definition."""
-    return [(t, series.filter(F.col("series") == t)) for t in ("daily_orders", "daily_revenue")]
+def model_backtest(r: Roles) -> DataFrame:
+    """Walk-forward predictions of the baselines and the fitted models on both order series."""
+    return checkpointed(forecasting.walk_forward(written_series(r)))
 
 
 @query("m3_recursive_forecast")
 def _(r):
     history = written_series(r)
-    parts = [
-        forecasting.recursive_forecast(forecasting.fit_model("LinearRegression", one), forecasting.series_state(one), 30)
-        for _, one in each_target(history)
-    ]
-    return joins.union_all(*parts)
+    fits = forecasting.fit_models(history, forecasting.MODELS)
+    return rounded(forecasting.model_forecast(fits, forecasting.series_state(history), 30), 6)
 
 
 @query("m4_candidates")
 def _(r):
-    parts = []
-    for target, history in each_target(written_series(r)):
-        for name in forecasting.MODELS:
-            model = forecasting.fit_model(name, history)
-            rows = model.transform(timeseries.make_features(history, ["series"]))
-            pairs = rows.select(F.col("target").alias("actual"), F.col("prediction").alias("predicted"))
-            parts.append(evaluation.error_metrics(pairs).withColumns({"series": F.lit(target), "model": F.lit(name)}))
-    return joins.union_all(*parts)
+    history = written_series(r)
+    values = forecasting.fitted_values(forecasting.fit_models(history, forecasting.MODELS), history)
+    return evaluation.error_metrics(values, ["series", "model"])
 
 
 @query("m6_walk_forward")
@@ -1310,8 +1302,13 @@ def _(r):
 
 @query("m6_walk_forward_models")
 def _(r):
-    parts = [forecasting.walk_forward(one) for _, one in each_target(written_series(r))]
-    return forecasting.backtest_metrics(joins.union_all(*parts))
+    return forecasting.backtest_metrics(model_backtest(r))
+
+
+@query("m8_choose_model_models")
+def _(r):
+    metrics = forecasting.backtest_metrics(model_backtest(r))
+    return evaluation.choose_model(evaluation.summarize_backtest(metrics, ["series", "model"]), ["series"])
 
 
 @query("m9_holdout_evaluation")
@@ -1321,12 +1318,8 @@ def _(r):
 
 @query("m9_holdout_models")
 def _(r):
-    parts = [
-        forecasting.holdout_evaluation(one, name)[0].withColumn("model", F.lit(name))
-        for _, one in each_target(written_series(r))
-        for name in forecasting.MODELS
-    ]
-    return joins.union_all(*parts)
+    compared = checkpointed(forecasting.holdout_predictions(written_series(r), forecasting.MODELS))
+    return forecasting.holdout_metrics(compared, ["series", "model"])
 
 
 @query("m12_generate_forecast")
@@ -1340,3 +1333,24 @@ def _(r):
 def _(r):
     trained = forecasting.train(order_series(r), ("daily_orders", "daily_revenue"), ())
     return rounded(joins.union_all(*[artifact.forecast(7) for artifact in trained.artifacts.values()]), 4)
+
+
+def _trained(r: Roles) -> forecasting.TrainedForecast:
+    """Chosen among baselines and fitted models, for both order series."""
+    return forecasting.train(order_series(r), ("daily_orders", "daily_revenue"))
+
+
+@query("m10_residual_table_models")
+def _(r):
+    return rounded(_trained(r).residuals)
+
+
+@query("m12_generate_forecast_models")
+def _(r):
+    trained = _trained(r)
+    return rounded(forecasting.wide_forecast(forecasting.generate_forecast(trained.artifacts, trained.spread, 30)), 4)
+
+
+@query("m13_fit_artifact_models")
+def _(r):
+    return rounded(joins.union_all(*[artifact.forecast(7) for artifact in _trained(r).artifacts.values()]), 4)

@@ -75,20 +75,20 @@ def test_negative_baselines_are_clamped(spark):
 def test_fitted_model_steps_like_a_plain_loop(history):
     one = history.filter("series = 'x'")
     model = M.fit_model("LinearRegression", one)
-    linear = model.stages[-1]
+    intercept, *coefficients = model.first()["value"]
     s = pandas_series(history)
     work = s.copy()
     for _ in range(12):
         day = work.index[-1] + pd.Timedelta(days=1)
         grown = pd.concat([work, pd.Series([0.0], index=[day])])
         features = pandas_features(grown).iloc[-1][list(timeseries.FEATURES)].to_numpy(float)
-        work.loc[day] = max(0.0, float(features @ linear.coefficients.toArray() + linear.intercept))
+        work.loc[day] = max(0.0, float(features @ np.array(coefficients) + intercept))
     found = M.recursive_forecast(model, M.series_state(one), 12).orderBy("step").toPandas()
     assert np.allclose(found["predicted"], work.iloc[-12:])
 
 
 def test_walk_forward_holdout_and_interval(history, tmp_path, spark):
-    small = M.ForecastSettings(trees=3, tree_depth=3, boosting_rounds=2, boosting_depth=2)
+    small = M.ForecastSettings(trees=3, tree_depth=3, boosting_rounds=2, boosting_leaves=4)
     predictions = M.walk_forward(history, ("LinearRegression",), small, holdout=14, fold=7, count=2)
     assert predictions.count() == 2 * 2 * 7 * 5
     metrics, residuals = M.holdout_evaluation(history, "SeasonalNaive7", small)
@@ -113,7 +113,7 @@ def test_training_reads_the_series_once(spark, history):
             yield batch
 
     targets = [r[0] for r in history.select("series").distinct().collect()]
-    small = M.ForecastSettings(trees=3, tree_depth=3, boosting_rounds=2, boosting_depth=2)
+    small = M.ForecastSettings(trees=3, tree_depth=3, boosting_rounds=2, boosting_leaves=4)
     trained = M.train(history.mapInPandas(counted, history.schema), targets, ("LinearRegression",), small)
     assert set(trained.selected) == set(targets) and trained.holdout.count() == 3 * len(targets)
     forecast = M.generate_forecast(trained.artifacts, trained.spread, 7)
