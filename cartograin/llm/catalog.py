@@ -37,7 +37,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_report(table(spark, sf_dir, "documents")).drop("shards")
+    report = mix_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("shards", F.concat_ws(",", F.transform("shards", lambda s: s.cast("string"))))
 
 
 @query

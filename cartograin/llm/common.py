@@ -32,6 +32,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(documents: DataFrame, **own: Column) -> DataFrame:
+    """Each row whole as column ``document``, and columns of the operator beside it, so that no names clash."""
+    document = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("document")
+    return documents.select(document, *[value.alias(name) for name, value in own.items()])
+
+
 def row_key(*columns: str) -> Column:
     """96 bits of identity from the given columns; nulls differ from empty values.
 

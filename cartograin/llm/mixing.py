@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, null_safe_join, ranges_for, row_key, running_before, staged, unit_hash
+from .common import boxed, null_safe_join, ranges_for, row_key, running_before, staged, unit_hash, WORD
 
 
 @dataclass(frozen=True)
@@ -32,10 +32,13 @@ class Mix:
     seed: int = 17
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """row (unique), doc_id, key, source, size (words); written once, so row numbers are fixed."""
+def sized(documents: DataFrame, row: Column | None = None) -> DataFrame:
+    """row (unique), doc_id, key, source, size (words); written once, so row numbers are fixed.
+
+    ``row`` is the caller's number of a row; by default rows are numbered here.
+    """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    number = F.col("_row") if "_row" in documents.columns else F.monotonically_increasing_id()
+    number = F.monotonically_increasing_id() if row is None else row
     rows = documents.select(number.alias("row"), "doc_id", row_key("doc_id", "source", "text").alias("key"), "source", size.alias("size"))
     return staged(rows, "mix-sizes")
 
@@ -167,7 +170,7 @@ def _hypergeometric(urn: Column, room: Column, quota: Column, seed: list[Column]
     )
 
 
-def mix_sources(documents: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix_sources(documents: DataFrame, mix: Mix = Mix(), row: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, goals, copies): all rows with their words, targets by source, and one row per document copy taken.
 
     ``copies`` has row, doc_id, key, source, size, epoch, shard and shuffle_key; reading a
@@ -177,7 +180,7 @@ def mix_sources(documents: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, Data
     table, or one without words, gives no copies. Reruns agree, however rows are stored:
     choices follow hashes of the contents, and only identical rows are interchangeable.
     """
-    sizes = sized(documents)
+    sizes = sized(documents, row)
     goals = staged(targets(sizes, mix), "mix-targets")
     quotas = staged(shard_quotas(goals, mix), "mix-quotas")
     ranked = Window.partitionBy("source").orderBy(unit_hash(F.lit(mix.seed + 1), F.col("source"), F.col("block")), "block")
@@ -205,9 +208,27 @@ def mix_report(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
 
 
+def _placed(documents: DataFrame, mix: Mix) -> DataFrame:
+    """document, shard and shuffle_key of every copy taken."""
+    base = staged(boxed(documents, row=F.monotonically_increasing_id()), "mix-documents")
+    copies = mix_sources(base.select("row", "document.doc_id", "document.source", "document.text"), mix, F.col("row"))[2]
+    return base.join(copies.select("row", "shard", "shuffle_key", "epoch"), "row")
+
+
 def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The rows of ``documents`` the mix takes, once per copy, columns unchanged."""
-    base = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
-    copies = mix_sources(base, mix)[2].groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
-    joined = base.join(copies, "_row")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*documents.columns)
+    return _placed(documents, mix).select("document.*")
+
+
+def write_shards(documents: DataFrame, path: str, mix: Mix = Mix()) -> None:
+    """Write the mix below ``path``, a folder ``mix_shard=N`` for each output shard.
+
+    Shards hold disjoint blocks of every source by its quota; a shard's files, in order of
+    their names, hold its copies in shuffled order.
+    """
+    copies = _placed(documents, mix)
+    clash = [c for c in documents.columns if c.lower() == "mix_shard"]
+    if clash:
+        raise ValueError(f"a column {clash[0]} would be taken for the shard")
+    dealt = copies.repartitionByRange(F.col("shard"), F.col("shuffle_key")).sortWithinPartitions("shard", "shuffle_key", "row", "epoch")
+    dealt.select("document.*", F.col("shard").alias("mix_shard")).write.partitionBy("mix_shard").mode("overwrite").parquet(path)

@@ -27,10 +27,7 @@ lines AS (
 held AS (SELECT * FROM lines WHERE nw > 0),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM held GROUP BY doc_id),
 texts AS (SELECT source, body, min(doc_id) AS doc_id FROM docs GROUP BY source, body),
-hosts AS (SELECT source, count(*) AS n FROM texts GROUP BY source),
-often AS (
-  SELECT h.source, h.normal, count(DISTINCT h.doc_id) AS n FROM held h JOIN texts t ON h.doc_id = t.doc_id GROUP BY ALL HAVING count(DISTINCT h.doc_id) > 10),
-above AS (SELECT o.source, o.normal FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source WHERE o.n * 100 > h.n * 10),
+above AS (SELECT h.source, h.normal FROM held h JOIN texts t ON h.doc_id = t.doc_id GROUP BY ALL HAVING count(DISTINCT h.doc_id) > 10),
 gone AS (
   SELECT h.doc_id, sum(h.nw) AS words, count(DISTINCT h.normal) AS lines
   FROM held h JOIN above a ON h.source IS NOT DISTINCT FROM a.source AND h.normal = a.normal GROUP BY h.doc_id),

@@ -33,16 +33,15 @@ class Limits:
     """``min_words`` and ``max_repeat_percent`` are the base rules.
 
     A line is removed when more than ``line_documents`` distinct documents of its
-    host hold it and they are more than ``line_percent`` of the host's distinct
-    documents; with ``line_percent`` 0 the number alone decides, whatever the size of
-    the host. A document is depleted when removal leaves fewer than ``min_words``
+    host hold it, whatever the size of the host, and, if ``line_percent`` is set, only
+    where they are more than that share of the host's distinct documents. A document is depleted when removal leaves fewer than ``min_words``
     words or less than ``left_percent`` of them.
     """
 
     min_words: int = 20
     max_repeat_percent: int = 30
     line_documents: int = 10
-    line_percent: int = 10
+    line_percent: int = 0
     left_percent: int = 30
 
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import null_safe_join, row_key, running_before, staged, unit_hash
+from .common import boxed, null_safe_join, row_key, running_before, staged, unit_hash
 
 #: Bytes a document takes beside its text.
 OVERHEAD = 16
@@ -171,18 +171,21 @@ def _moved(rows: DataFrame, transfers: list[tuple[int, int, int]], limits: dict[
     return rows.join(moves, "row", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
 
 
-def reshard(documents: DataFrame, layout: Layout = Layout()) -> DataFrame:
+def reshard(
+    documents: DataFrame, layout: Layout = Layout(), old_shard: Column | None = None, row: Column | None = None, file: Column | None = None
+) -> DataFrame:
     """New place of every document row: row, doc_id, key, size, text_crc32, old_shard, shard, slot.
 
     Law ``bytes``: shards get near equal bytes (UTF-8 bytes of the text plus ``OVERHEAD``
-    per document) and the fewest bytes move. The old shard is column ``_old_shard`` if
-    there is one, else follows from the file a row was read from. Null texts count as
+    per document) and the fewest bytes move. ``old_shard`` gives the old shard of a row;
+    where it is null or not given, that follows from ``file``, by default the file the row
+    was read from. ``row`` is the caller's number of a row. Null texts count as
     empty; rows that repeat are placed one by one; other columns are not read. An empty
     table gives no rows.
     """
-    old = F.col("_old_shard").cast("int") if "_old_shard" in documents.columns else F.lit(None).cast("int")
-    file = F.col("_file") if "_file" in documents.columns else F.input_file_name()
-    number = F.col("_row") if "_row" in documents.columns else F.monotonically_increasing_id()
+    old = F.lit(None).cast("int") if old_shard is None else old_shard.cast("int")
+    file = F.input_file_name() if file is None else file
+    number = F.monotonically_increasing_id() if row is None else row
     rows = documents.select(
         number.alias("row"),
         "doc_id",
@@ -219,26 +222,38 @@ def shard_report(documents: DataFrame, layout: Layout = Layout()) -> DataFrame:
     )
 
 
-def sharded(documents: DataFrame, layout: Layout = Layout()) -> DataFrame:
+def _numbered(documents: DataFrame, label: str, old_shard: Column | None) -> DataFrame:
+    """document, row, the file it was read from and its old shard, if given; written once."""
+    given = F.lit(None) if old_shard is None else old_shard
+    return staged(boxed(documents, row=F.monotonically_increasing_id(), file=F.input_file_name(), given=given.cast("int")), label)
+
+
+def _places(base: DataFrame, layout: Layout) -> DataFrame:
+    inner = base.select("row", "file", "given", "document.doc_id", "document.text")
+    return reshard(inner, layout, F.col("given"), F.col("row"), F.col("file")).select("row", "shard", "slot", "old_shard")
+
+
+def _with_places(joined: DataFrame, columns: list[str]) -> DataFrame:
+    kept = [F.col(f"document.`{c}`").alias(c) for c in columns if c.lower() not in ("shard", "slot")]
+    return joined.select(*kept, F.col("shard"), F.col("slot"))
+
+
+def sharded(documents: DataFrame, layout: Layout = Layout(), old_shard: Column | None = None) -> DataFrame:
     """``documents`` with their shard and slot; columns of these names are replaced."""
-    base = staged(documents.withColumn("_row", F.monotonically_increasing_id()).withColumn("_file", F.input_file_name()), "shard-documents")
-    places = reshard(base, layout).select(F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = base.join(places, "_row")
-    kept = [c for c in documents.columns if c not in ("shard", "slot")]
-    return joined.select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    base = _numbered(documents, "shard-documents", old_shard)
+    return _with_places(base.join(_places(base, layout), "row"), documents.columns)
 
 
-def rewrite(documents: DataFrame, path: str, layout: Layout = Layout()) -> list[int]:
+def rewrite(documents: DataFrame, path: str, layout: Layout = Layout(), old_shard: Column | None = None) -> list[int]:
     """Write the shards that gain or lose documents below ``path`` as ``shard=N``; their numbers.
 
     Shards whose rows all stay are not written.
     """
-    base = staged(documents.withColumn("_row", F.monotonically_increasing_id()).withColumn("_file", F.input_file_name()), "rewrite-documents")
-    places = staged(reshard(base, layout).select("row", "shard", "slot", "old_shard"), "rewrite-places")
+    base = _numbered(documents, "rewrite-documents", old_shard)
+    places = staged(_places(base, layout), "rewrite-places")
     moved = places.filter("old_shard != shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
     affected = sorted(r[0] for r in moved.collect() if r[0] < layout.shards)
-    rows = places.filter(F.col("shard").isin(affected)).select(F.col("row").alias("_row"), F.col("shard").alias("_shard"), "slot")
-    kept = [c for c in documents.columns if c not in ("shard", "slot")]
-    out = base.join(rows, "_row").select(*kept, F.col("_shard").alias("shard"), "slot")
+    rows = places.filter(F.col("shard").isin(affected)).select("row", "shard", "slot")
+    out = _with_places(base.join(rows, "row"), documents.columns)
     out.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
     return affected

@@ -2,8 +2,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cartograin.llm.mixing import Mix, mix_report, mix_sources, mixed, shard_quotas, sized, targets
+from cartograin.llm.mixing import Mix, mix_report, mix_sources, mixed, shard_quotas, sized, targets, write_shards
 
 from .conftest import HARD
 
@@ -109,3 +110,19 @@ def test_hard_texts(documents):
     empty = mix_report(documents([]).limit(0))
     assert empty.count() == 0
     assert [r.taken for r in mix_report(documents([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_shards_are_written_disjoint_whole_and_shuffled(spark, documents, tmp_path):
+    """What the tree and the permutation decide is what the files hold."""
+    rows = documents(corpus(["a", "b", "c"], 40)).drop("document")
+    mix = Mix(shards=5, blocks_per_shard=8)
+    write_shards(rows, str(tmp_path / "mix"), mix)
+    written = spark.read.parquet(str(tmp_path / "mix"))
+    assert sorted(map(str, written.select(*rows.columns).collect())) == sorted(map(str, mixed(rows, mix).collect()))
+    wanted = mix_sources(rows, mix)[2].groupBy("doc_id", "shard").count().collect()
+    assert {(r.doc_id, r.mix_shard, r["count"]) for r in written.groupBy("doc_id", "mix_shard").count().collect()} == {tuple(r) for r in wanted}
+    for shard in range(5):
+        order = [r.doc_id for f in sorted((tmp_path / "mix" / f"mix_shard={shard}").glob("*.parquet")) for r in spark.read.parquet(str(f)).select("doc_id").collect()]
+        assert len(order) > 20 and order != sorted(order) and order != sorted(order, reverse=True)
+    with pytest.raises(ValueError):
+        write_shards(rows.withColumn("mix_shard", F.lit(1)), str(tmp_path / "other"), mix)

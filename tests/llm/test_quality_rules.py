@@ -55,11 +55,12 @@ def test_exact_copies_count_once(documents):
     assert all(r.kept for r in quality_rules(documents(rows)).collect())
 
 
-def test_rare_lines_and_small_shares_stay(documents):
+def test_the_number_of_documents_decides_whatever_the_host(documents):
     rows = [(i, f"{prose(i)}\na common line", "a") for i in range(11)] + [(50 + i, prose(50 + i), "a") for i in range(120)]
     measured = features(documents(rows))
-    assert frequent_lines(measured).count() == 0
-    assert [r.documents for r in frequent_lines(measured, Limits(line_percent=5)).collect()] == [11]
+    assert [r.documents for r in frequent_lines(measured).collect()] == [11]
+    assert frequent_lines(measured, Limits(line_documents=11)).count() == 0
+    assert frequent_lines(measured, Limits(line_percent=10)).count() == 0
 
 
 def test_hard_texts_and_null_hosts(documents):

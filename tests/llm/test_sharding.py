@@ -35,8 +35,7 @@ def texts(n=600):
 
 
 def test_even_sizes_few_moves_and_gapless_slots(documents):
-    rows = documents(texts()).withColumn("_old_shard", (F.col("doc_id") % 3).cast("int"))
-    got = reshard(rows, Layout(shards=5)).collect()
+    got = reshard(documents(texts()), Layout(shards=5), F.col("doc_id") % 3).collect()
     assert len(got) == 600
     sizes = [sum(r.size for r in got if r.shard == j) for j in range(5)]
     assert max(sizes) - min(sizes) < 0.01 * sum(sizes)
@@ -71,7 +70,8 @@ def test_columns_come_back_and_clashing_ones_are_replaced(documents):
 
 
 def test_only_affected_shards_are_rewritten(spark, documents, tmp_path):
-    rows = documents([(i, "y" * 84) for i in range(40)]).withColumn("_old_shard", F.when(F.col("doc_id") < 10, 0).when(F.col("doc_id") < 30, 1).otherwise(2).cast("int"))
-    affected = rewrite(rows.drop("shard"), str(tmp_path / "out"), Layout(shards=4))
+    rows = documents([(i, "y" * 84) for i in range(40)])
+    old = F.when(F.col("doc_id") < 10, 0).when(F.col("doc_id") < 30, 1).otherwise(2)
+    affected = rewrite(rows.drop("shard"), str(tmp_path / "out"), Layout(shards=4), old)
     assert affected == [1, 3]
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().orderBy("shard").collect() == [(1, 10), (3, 10)]
