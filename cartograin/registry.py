@@ -1295,6 +1295,19 @@ def _(r):
     return evaluation.error_metrics(values, ["series", "model"])
 
 
+@query("m4_normal_equations")
+def _(r):
+    """What makes a linear fit the best one: its values have the same mean as the target,
+    weighted by any feature. SQL takes the target itself."""
+    history = written_series(r)
+    values = forecasting.fitted_values(forecasting.fit_models(history, ("LinearRegression",)), history)
+    rows = timeseries.make_features(history, ["series"]).drop("target").join(values.drop("model"), ["series", "date"])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in timeseries.FEATURES])
+    long = rows.select("series", "predicted", F.explode(pairs).alias("p")).select("series", "predicted", "p.feature", "p.x")
+    weighted = F.sum(F.col("x") * F.col("predicted")) / F.sum("x")
+    return long.groupBy("series", "feature").agg(F.count(F.lit(1)).alias("days"), F.round(weighted, 2).alias("weighted_mean"))
+
+
 @query("m6_walk_forward")
 def _(r):
     return rounded(baseline_backtest(r), 4)

@@ -720,6 +720,14 @@ SQL["m1_make_features"] = (
         CAST(date - min(date) OVER (PARTITION BY series) AS INTEGER) AS time_index, round(value, 6) AS target FROM series)
     WHERE lag_28 IS NOT NULL"""
 )
+_PLAIN = SQL["m1_make_features"]
+for _k in (1, 2, 3, 7, 14, 28):
+    _PLAIN = _PLAIN.replace(f"round(lag(value, {_k}) OVER (PARTITION BY series ORDER BY date), 6)", f"lag(value, {_k}) OVER (PARTITION BY series ORDER BY date)")
+SQL["m4_normal_equations"] = f"""
+    SELECT series, feature, count(*) AS days, round(sum(x * target) / sum(x), 2) AS weighted_mean
+    FROM (UNPIVOT (SELECT series, target, COLUMNS(* EXCLUDE (series, date, target))::DOUBLE FROM ({_PLAIN}))
+          ON COLUMNS(* EXCLUDE (series, target)) INTO NAME feature VALUE x)
+    GROUP BY ALL"""
 SQL["m2_naive_last_value"] = """
     SELECT series, CAST(step AS INTEGER) AS step, last_date + CAST(step AS INTEGER) AS date, greatest(0, last_value) AS predicted
     FROM (SELECT series, max(date) AS last_date, arg_max(value, date) AS last_value FROM event_days GROUP BY 1), range(1, 31) g(step)"""
