@@ -42,7 +42,8 @@ def test_draws_weigh_rows_and_trees_do_not_mix():
         repeated = np.repeat(np.arange(len(x)), drawn)
         alone = E.grow_forest(x[repeated], y[repeated], np.ones((1, len(repeated)), int), 6, 3)[0]
         assert tree.rows[0] == drawn.sum()
-        assert np.allclose(E.walked(E.stacked([tree.row()]), x), E.walked(E.stacked([alone.row()]), x))
+        # Splits of equal gain may differ in feature, not in the drawn rows they part.
+        assert np.allclose(E.walked(E.stacked([tree.row()]), x[repeated]), E.walked(E.stacked([alone.row()]), x[repeated]))
         assert (tree.rows[tree.feature < 0] >= 3).all()
 
 
