@@ -9,8 +9,10 @@ Documents of equal sets are one node. A bucket compares its members with a pivot
 whose members are all in one component are done; what is left is compared with ever more
 pivots until no bucket holds two components, so no link between components is lost. Pairs
 of one component, and pairs whose set sizes rule a link out, are left out where they would
-be formed. A bucket of similar texts that do not link is compared pair by pair in the end;
-tuples of six hashes keep such buckets small.
+be formed. So are pairs that were verified before and pairs that a third set rules out: one
+minus the similarity is a metric, hence two sets whose distances to one pivot differ by more
+than a link allows can't link. A bucket of similar texts that do not link is compared pair by
+pair in the end; tuples of six hashes keep such buckets small.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ class Banding:
     tuples: int = 40
     size: int = 6
     pivots: int = 4
+    references: int = 6
 
     @property
     def hashes(self) -> int:
@@ -119,8 +122,11 @@ def _signatures(texts: list[bytes], banding: Banding, multiply: np.ndarray, add:
     return [*plain, listed(keys[: banding.tuples]), listed(keys[banding.tuples :])]
 
 
+_MEASURED = "a bigint, b bigint, distance double, linked boolean"
+
+
 def _verifier(banding: Banding):
-    """Keeps the pairs whose shingle sets are similar enough."""
+    """Distance of the shingle sets of each pair, and whether they are similar enough to link."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,19 +139,22 @@ def _verifier(banding: Banding):
                 order = np.lexsort((hashed, text >> 1))
                 pair, ranked = text[order] >> 1, hashed[order]
                 shared = np.bincount(pair[1:][(ranked[1:] == ranked[:-1]) & (pair[1:] == pair[:-1])], minlength=end - begin)
-                linked = pa.array((shared > 0) & (100 * shared >= banding.percent * (size - shared)))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(linked)
+                either = size - shared
+                linked = pa.array((shared > 0) & (100 * shared >= banding.percent * either))
+                distance = pa.array(1.0 - shared / np.maximum(either, 1))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), distance, linked], names=["a", "b", "distance", "linked"])
 
     return rows
 
 
 class _Links:
-    """Verified links so far and the components they make."""
+    """Verified pairs so far, the components their links make, and what the distances rule out."""
 
-    def __init__(self, texts: DataFrame, banding: Banding):
-        self.texts, self.banding = texts, banding
+    def __init__(self, texts: DataFrame, weights: DataFrame, banding: Banding):
+        self.texts, self.weights, self.banding = texts, weights, banding
         self.labels: DataFrame | None = None
-        self.tested: DataFrame | None = None
+        self.measured: DataFrame | None = None
+        self.known: DataFrame | None = None
 
     def labeled(self, rows: DataFrame, node: str, label: str) -> DataFrame:
         if self.labels is None:
@@ -153,29 +162,56 @@ class _Links:
         known = self.labels.select(F.col("node").alias(node), F.col("component").alias("_component"))
         return rows.join(known, node, "left").withColumn(label, F.coalesce("_component", node)).drop("_component")
 
+    def located(self, rows: DataFrame, node: str, near: str) -> DataFrame:
+        """Adds the distances of ``node`` to the heaviest sets it was compared with, as a map."""
+        if self.known is None:
+            return rows.withColumn(near, F.lit(None).cast("map<bigint,double>"))
+        return rows.join(self.known.select(F.col("node").alias(node), F.col("near").alias(near)), node, "left")
+
+    def _locate(self) -> None:
+        """Of each verified pair the heavier set serves the other as reference. Heavy sets are centres of many
+        buckets, so two members of a bucket have some in common; more references would only rule out more."""
+        a = self.weights.select(F.col("node").alias("a"), F.col("weight").alias("wa"))
+        b = self.weights.select(F.col("node").alias("b"), F.col("weight").alias("wb"))
+        sided = self.measured.join(a, "a").join(b, "b").withColumn("first", (F.col("wa") > F.col("wb")) | ((F.col("wa") == F.col("wb")) & (F.col("a") < F.col("b"))))
+        sided = sided.select(F.when(F.col("first"), F.col("b")).otherwise(F.col("a")).alias("node"), F.when(F.col("first"), F.col("a")).otherwise(F.col("b")).alias("pivot"), F.greatest("wa", "wb").alias("weight"), "distance")
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("weight"), "pivot"))
+        heaviest = sided.withColumn("place", place).filter(F.col("place") <= self.banding.references)
+        near = F.map_from_entries(F.collect_list(F.struct("pivot", "distance"))).alias("near")
+        self.known = staged(heaviest.groupBy("node").agg(near), "near-references")
+
     def apart(self, bucketed: DataFrame, heads: DataFrame, bucket: str) -> DataFrame:
-        """Pairs (a, b) of a bucket's members (node, n_shingles, label) with its heads
-        (pivot, size, pivot_label) that are of two components and near enough in size to link."""
+        """Pairs (a, b) of a bucket's members (node, n_shingles, label, near) with its heads
+        (pivot, size, pivot_label, pivot_near) that may link: of two components, near enough
+        in size, not verified before, and no reference of both rules them out."""
         most = F.greatest("n_shingles", "size")
         possible = (F.col("label") != F.col("pivot_label")) & (100 * F.least("n_shingles", "size") >= self.banding.percent * most)
+        met = F.map_contains_key("near", F.col("pivot")) | F.map_contains_key("pivot_near", F.col("node"))
+        # Nodes without references, and references of one side only, rule out nothing.
+        limit = F.lit(1.0 - self.banding.percent / 100 + 1e-9)
+        far = F.exists(F.map_keys("near"), lambda p: F.abs(F.col("near")[p] - F.col("pivot_near")[p]) > limit)
+        for ruled_out in (met, far):
+            possible = possible & ~F.coalesce(ruled_out, F.lit(False))
         joined = bucketed.alias("m").join(heads.alias("h"), (F.col(f"m.{bucket}") == F.col(f"h.{bucket}")) & possible)
         return joined.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
     def test(self, pairs: DataFrame) -> None:
         """Verify the pairs (a, b) that were not tested before."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
-        if self.tested is not None:
-            ordered = ordered.join(self.tested, ["a", "b"], "left_anti")
+        if self.measured is not None:
+            ordered = ordered.join(self.measured, ["a", "b"], "left_anti")
         ordered = staged(ordered, "near-pairs")
         if ordered.isEmpty():
             return
-        self.tested = ordered if self.tested is None else self.tested.unionByName(ordered)
         left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         read = ordered.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        edges = staged(read.mapInArrow(_verifier(self.banding), "a bigint, b bigint"), "near-links")
+        measured = staged(read.mapInArrow(_verifier(self.banding), _MEASURED), "near-measured")
+        self.measured = measured if self.measured is None else self.measured.unionByName(measured)
+        edges = measured.filter("linked").select("a", "b")
         if not edges.isEmpty():
             self.labels = merged(self.labels, edges)
+        self._locate()
 
 
 def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -202,13 +238,14 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     weights = staged(weights, "near-weights")
     by_u = by_u.select("node", "u").join(weights, "node")
     wanted = weights.select("node").join(nodes, "node")
-    links = _Links(_texts(source, wanted), banding)
+    links = _Links(_texts(source, wanted), weights, banding)
     star = by_u.join(_centres(by_u.withColumn("label", F.col("node")), "u"), "u").filter("node != pivot")
     counted = star.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("node").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("best"))
     links.test(best.select(F.col("node").alias("a"), (-F.col("best.p")).alias("b")))
     open_u = staged(_open(links.labeled(by_u, "node", "label"), "u"), "near-open")
-    links.test(links.apart(open_u, _centres(open_u, "u"), "u"))
+    centres = links.located(_centres(open_u, "u"), "pivot", "pivot_near")
+    links.test(links.apart(links.located(open_u, "node", "near"), centres, "u"))
 
     # Tensored keys, for members of u-buckets that still hold two components.
     open_u = _open(links.labeled(open_u.select("node", "u"), "node", "label"), "u").select("node", "u")
@@ -216,16 +253,17 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     crossed = crossed.select("node", F.xxhash64("u", "v").alias("bucket"))
 
     def still(rows: DataFrame) -> DataFrame:
-        """Members of the buckets that hold two components, with weight, size and label."""
+        """Members of the buckets that hold two components, with weight, size, label and references."""
         kept = staged(_different(_open(links.labeled(rows, "node", "label"), "bucket")), "near-tensor")
-        return links.labeled(kept.join(weights, "node"), "node", "label")
+        return links.located(links.labeled(kept.join(weights, "node"), "node", "label"), "node", "near")
 
     buckets = still(crossed)
     pivots = banding.pivots
     while not buckets.isEmpty():
         place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node"))
         heads = buckets.withColumn("place", place).filter(F.col("place") <= pivots)
-        heads = staged(heads.select("bucket", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label")), "near-pivots")
+        heads = heads.select("bucket", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label"), F.col("near").alias("pivot_near"))
+        heads = staged(heads, "near-pivots")
         links.test(links.apart(buckets, heads, "bucket"))
         # A pivot has met all of its bucket; the others go on while they are of two components.
         rest = buckets.select("node", "bucket").join(heads.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")

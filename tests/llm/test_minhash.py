@@ -113,3 +113,15 @@ def test_components_of_paths_stars_and_cycles(spark):
     more = merged(spark.createDataFrame(list(got.items()), "node bigint, component bigint"), spark.createDataFrame([(40, 129), (500, 202)], "a bigint, b bigint"))
     got = {r.node: r.component for r in more.collect()}
     assert got[129] == got[1] == 1 and got[500] == got[201] == 200
+
+
+def test_groups_that_meet_in_buckets_without_linking(documents):
+    """Two groups of edited copies at half their words, one document between that links with both, and one with neither."""
+    rng = random.Random(4)
+    words = [f"t{i}" for i in range(120)]
+    other = words[:80] + [f"o{i}" for i in range(40)]
+
+    middle = words[:100] + [f"o{i}" for i in range(20, 40)]
+    rows = [(i, " ".join(edited(rng, words, 1))) for i in range(1, 60)] + [(100 + i, " ".join(edited(rng, other, 1))) for i in range(60)]
+    rows += [(300, " ".join(middle)), (301, " ".join(words[:60] + [f"z{i}" for i in range(60)]))]
+    assert found(minhash_dedup(documents(rows))) == brute(rows)
