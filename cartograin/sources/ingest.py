@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -96,30 +97,84 @@ def reload_tables(
     tables: Iterable[TableSpec] = TABLES,
     filenames: Mapping[str, str] | None = None,
 ) -> dict[str, int]:
-    """Validate all sources, then replace every table; repeatable. Row counts
-    are observed while writing, so nothing is read twice."""
+    """Validate all sources, then replace every table at once; repeatable. Row
+    counts are observed while writing, so nothing is read twice.
+
+    The tables go to a folder of their own. One row of the manifest, written
+    last, publishes them together: its file appears by a single rename, so a
+    load that fails half-way leaves readers with the tables they had. Of two
+    loads at the same time, the one of the greater version name is read.
+    """
     tables = tuple(tables)
     paths = validate_sources(spark, source_folder, tables, filenames)
-    written = {}
+    version, written = uuid.uuid4().hex, {}
     for spec in tables:
         seen = Observation(f"load_{spec.name}")
         frame = csv_scan(spark, paths[spec.name], spec).observe(seen, F.count(F.lit(1)).alias("rows"))
-        frame.write.mode("overwrite").parquet(table_path(target_folder, spec.name))
+        frame.write.parquet(table_path(target_folder, spec.name, version))
         written[spec.name] = seen.get["rows"]
+    latest = _loads(spark, target_folder)[:1]
+    entry = (latest[0].sequence + 1 if latest else 1, version, list(written.items()))
+    spark.createDataFrame([entry], _MANIFEST).coalesce(1).write.mode("append").json(_manifest_path(target_folder))
     return written
 
 
-def table_path(folder: str, name: str) -> str:
-    return f"{folder.rstrip('/')}/{name}"
+# One small row per load.
+_MANIFEST = "sequence bigint, version string, tables array<struct<name: string, rows: bigint>>"
+
+
+def _manifest_path(folder: str) -> str:
+    return f"{folder.rstrip('/')}/load_manifest"
+
+
+def _loads(spark: SparkSession, folder: str) -> list[Row]:
+    """Published loads, latest first."""
+    try:
+        manifest = spark.read.schema(_MANIFEST).json(_manifest_path(folder))
+    except AnalysisException:
+        return []
+    return manifest.orderBy(F.desc("sequence"), F.desc("version")).collect()
+
+
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """Version that readers get; None for a folder without published loads."""
+    loads = _loads(spark, folder)
+    return loads[0].version if loads else None
+
+
+def drop_old_versions(spark: SparkSession, folder: str, keep: int = 2) -> int:
+    """Delete the tables of all but the ``keep`` latest published loads; returns
+    how many loads had tables to delete. Queries planned on them fail from then
+    on, and tables of loads that were never published are left alone."""
+    if keep < 1:
+        raise ValueError("the current version is never deleted")
+    dropped = 0
+    for load in _loads(spark, folder)[keep:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_version_path(folder, load.version))
+        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
+
+
+def _version_path(folder: str, version: str) -> str:
+    return f"{folder.rstrip('/')}/versions/{version}"
+
+
+def table_path(folder: str, name: str, version: str | None = None) -> str:
+    """Without a version, the table lies in ``folder`` itself."""
+    return f"{_version_path(folder, version) if version else folder.rstrip('/')}/{name}"
 
 
 def table_scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(folder, name))
+    """A table of the latest published load, or, where nothing was published, of
+    a plain folder of Parquet tables."""
+    return spark.read.parquet(table_path(folder, name, current_version(spark, folder)))
 
 
 def load_tables(spark: SparkSession, folder: str, tables: Iterable[TableSpec] = TABLES) -> dict[str, DataFrame]:
-    """All tables by name; nothing is read until a query needs it."""
-    return {spec.name: table_scan(spark, folder, spec.name) for spec in tables}
+    """All tables by name, of one and the same load; nothing but the manifest is
+    read until a query needs it."""
+    version = current_version(spark, folder)
+    return {spec.name: spark.read.parquet(table_path(folder, spec.name, version)) for spec in tables}
 
 
 def read_select(spark: SparkSession, query: str, parameters: Mapping[str, object] | None = None, **frames: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from cartograin.sources import contract, ingest, sinks
 
@@ -47,6 +49,55 @@ def test_reload_is_typed_counted_and_repeatable(spark, folder, tmp_path):
         ingest.read_select(spark, "DROP TABLE x")
 
 
+def test_a_failed_load_leaves_the_tables_of_the_last_one(spark, folder, tmp_path, monkeypatch):
+    target = str(tmp_path / "tables")
+    with monkeypatch.context() as patch:
+        _fail_at(patch, "geolocation")
+        with pytest.raises(PySparkException, match="lost"):
+            ingest.reload_tables(spark, str(folder), target)
+        assert ingest.current_version(spark, target) is None
+    ingest.reload_tables(spark, str(folder), target)
+    old = ingest.current_version(spark, target)
+    before = ingest.load_tables(spark, target)
+    (folder / "customers.csv").write_text(SAMPLES["customers"] + "c2,u2,1300,sao paulo,SP\n")
+    with monkeypatch.context() as patch:
+        _fail_at(patch, "geolocation")
+        with pytest.raises(PySparkException, match="lost"):
+            ingest.reload_tables(spark, str(folder), target)
+    assert ingest.current_version(spark, target) == old
+    assert {name: t.count() for name, t in ingest.load_tables(spark, target).items()} == {**{s.name: 1 for s in contract.TABLES}, "payments": 2}
+    ingest.reload_tables(spark, str(folder), target)
+    assert ingest.current_version(spark, target) != old
+    assert ingest.table_scan(spark, target, "customers").count() == 2
+    # Whoever planned on the old load still reads it.
+    assert before["customers"].count() == 1
+
+
+def _fail_at(patch, name):
+    """The table's rows are written until its load raises in a task."""
+    scan = ingest.csv_scan
+
+    def failing(spark, path, spec):
+        df = scan(spark, path, spec)
+        return df.filter(F.raise_error(F.lit("lost")).isNull()) if spec.name == name else df
+
+    patch.setattr(ingest, "csv_scan", failing)
+
+
+def test_old_versions_are_dropped_and_plain_folders_are_read(spark, folder, tmp_path):
+    target = str(tmp_path / "tables")
+    for _ in range(3):
+        ingest.reload_tables(spark, str(folder), target, contract.TABLES[:2])
+    assert len(list((tmp_path / "tables" / "versions").iterdir())) == 3
+    assert ingest.drop_old_versions(spark, target) == 1 and ingest.drop_old_versions(spark, target) == 0
+    assert len(list((tmp_path / "tables" / "versions").iterdir())) == 2
+    assert ingest.table_scan(spark, target, contract.TABLES[0].name).count() == 1
+    with pytest.raises(ValueError):
+        ingest.drop_old_versions(spark, target, keep=0)
+    spark.range(3).write.parquet(str(tmp_path / "plain" / "customers"))
+    assert ingest.table_scan(spark, str(tmp_path / "plain"), "customers").count() == 3
+
+
 def test_missing_files_and_columns_are_reported_together(spark, folder):
     (folder / "sellers.csv").unlink()
     (folder / "payments.csv").write_text("order_id,payment_type\no1,x\n")
