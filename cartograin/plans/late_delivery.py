@@ -42,7 +42,7 @@ from ..operators.evaluation import (
     threshold_table,
 )
 from ..operators.joins import lookup_join
-from ..operators.quality import assert_domain, assert_grain, audit_features, refuse_features
+from ..operators.quality import assert_rows, audit_features, refuse_features
 from ..operators.ranking import column_quantiles, distributed_rank, sample_exact, temporal_split, top_k
 from ..session import by_rows, checkpointed
 
@@ -219,9 +219,7 @@ def modeling_dataset(tables: Mapping[str, DataFrame], rules: StatusRules = DEFAU
 def checked_dataset(dataset: DataFrame) -> DataFrame:
     """Raises on a repeated order, a target outside {0, 1} or a leaking feature."""
     refuse_features(dataset, FEATURES, SOURCE, PROHIBITED)
-    assert_grain(dataset, [KEY])
-    assert_domain(dataset, {"target is 0 or 1": F.col(TARGET).isin(0, 1)})
-    return dataset
+    return assert_rows(dataset, [KEY], {"target is 0 or 1": F.col(TARGET).isin(0, 1)})
 
 
 def feature_audit(dataset: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import mean
 from ..operators.joins import with_scalar
-from ..operators.quality import DataQualityError, assert_domain, assert_grain
+from ..operators.quality import DataQualityError, assert_rows
 from ..operators.ranking import exact_quantiles, quantile_bin, sample_exact, share_of_total
 from ..operators.statistics import crosstab_share, minmax, top_values_joined
 from ..session import by_rows, checkpointed
@@ -328,9 +328,7 @@ def rule_by_cluster(customers: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def checked_rfm(rfm: DataFrame) -> DataFrame:
     """Raises on a repeated person or a missing or negative measure."""
-    assert_grain(rfm, [PERSON])
-    assert_domain(rfm, {f"{c} is not negative": F.col(c) >= 0 for c in RFM})
-    return rfm
+    return assert_rows(rfm, [PERSON], {f"{c} is not negative": F.col(c) >= 0 for c in RFM})
 
 
 def export(trained: TrainedSegments, path: str) -> None:

@@ -27,6 +27,8 @@ def test_assertions_raise_only_on_broken_data(spark):
         quality.assert_grain(good.union(good), ["k"])
     with pytest.raises(DataQualityError):
         quality.assert_domain(good.withColumn("y", F.lit(None).cast("int")), {"y": F.col("y").isin(0, 1)})
+    with pytest.raises(DataQualityError, match=r"a \(1 rows\), c \(2 rows\)"):
+        quality.assert_domain(good, {"a": F.col("k") > 1, "b": F.col("y") >= 0, "c": F.lit(None).cast("boolean")})
     days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-05')) AS d")
     quality.assert_continuous_days(days, "d")
     with pytest.raises(DataQualityError):
@@ -68,3 +70,22 @@ def test_describe_matches_pandas(spark):
     series, found = pd.Series(values), quality.describe_stats(df, ["v"]).first()
     assert (found["count"], found["p25"], found["p50"], found["p75"]) == (5, 2.0, 2.0, 3.0)
     assert found["skewness"] == pytest.approx(series.skew()) and found["std"] == pytest.approx(series.std())
+
+
+def test_grain_and_rules_are_checked_in_one_job(spark):
+    good = spark.createDataFrame([(1, 0), (2, 1), (None, 1)], "k int, y int")
+    rules = {"y is 0 or 1": F.col("y").isin(0, 1), "y is small": F.col("y") < 5}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("gates", "")
+    assert quality.assert_rows(good, ["k"], rules) is good
+    jobs = len(tracker.getJobIdsForGroup("gates"))
+    spark.sparkContext.setJobGroup("fold", "")
+    good.groupBy("k").count().agg(F.max("count")).first()
+    assert jobs == len(tracker.getJobIdsForGroup("fold"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert quality.assert_rows(good.limit(0), ["k"], rules).isEmpty()
+    with pytest.raises(DataQualityError, match="more than one row per k"):
+        quality.assert_rows(good.union(good), ["k"], rules)
+    broken = spark.createDataFrame([(1, 7), (2, None), (3, 1)], "k int, y int")
+    with pytest.raises(DataQualityError, match=r"y is 0 or 1 \(2 rows\), y is small \(2 rows\)"):
+        quality.assert_rows(broken, ["k"], rules)
