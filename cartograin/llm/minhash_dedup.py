@@ -5,22 +5,24 @@ one tuple of each, so the m * m tables of a banding scheme cost 2 * m tuples, ab
 square root of the hash computations. Pairs that share a key are candidates; every link
 is confirmed on the full shingle sets.
 
-Documents of equal sets are one node. A bucket compares its members with a pivot; buckets
-whose members are all in one component are done; what is left is compared with ever more
-pivots until no bucket holds two components, so no link between components is lost. Pairs
-of one component, and pairs whose set sizes rule a link out, are left out where they would
-be formed. A bucket of similar texts that do not link is compared pair by pair in the end;
-tuples of six hashes keep such buckets small.
+Documents of equal sets are one node. Rows are dealt by the u half of the keys; the v half
+is compared where two rows meet, so a node has m rows and not m * m. A bucket compares its
+members with a pivot; buckets whose members are all in one component are done; what is left
+is compared with ever more pivots until no bucket holds two components, so no link between
+components is lost. A pair that shares several keys is formed at the first alone. Pairs of
+one component, and pairs that set sizes or odd sketches rule out, are not formed. A bucket
+of similar texts that do not link is compared pair by pair in the end.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,13 +34,19 @@ from .components import merged
 @dataclass(frozen=True)
 class Banding:
     """A pair of similarity s shares a tuple of one side with probability 1 - (1 - s^size)^tuples, and
-    is found with the square of it: 0.9992 at s = 0.75, 0.9999 at 0.78, 0.22 at 0.5, 0.02 at 0.4."""
+    is found with the square of it: 0.9992 at s = 0.75, 0.9999 at 0.78, 0.22 at 0.5, 0.02 at 0.4.
+
+    ``sketch`` is the number of 64-bit words of a node's odd sketch; pairs are ruled out that differ in
+    more bits than a linked pair does on average plus ``deviations`` standard deviations, which a linked
+    pair does with a chance below one in a million."""
 
     words: int = 5
     percent: int = 75
     tuples: int = 40
     size: int = 6
     pivots: int = 4
+    sketch: int = 16
+    deviations: float = 5.0
 
     @property
     def hashes(self) -> int:
@@ -66,8 +74,8 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return text[new], hashed[new]
 
 
-_SIGNED = "doc_id bigint, key struct<a:bigint,b:int>, n_shingles bigint, fa bigint, fb bigint, us array<bigint>, vs array<bigint>"
-_SIGNED_NAMES = ["doc_id", "key", "n_shingles", "fa", "fb", "us", "vs"]
+_SIGNED = "doc_id bigint, key struct<a:bigint,b:int>, n_shingles bigint, fa bigint, fb bigint, us array<bigint>, vs array<bigint>, sketch array<bigint>"
+_SIGNED_NAMES = ["doc_id", "key", "n_shingles", "fa", "fb", "us", "vs", "sketch"]
 
 
 def _signer(banding: Banding):
@@ -116,7 +124,37 @@ def _signatures(texts: list[bytes], banding: Banding, multiply: np.ndarray, add:
         return pa.ListArray.from_arrays(pa.array(filled_offsets), pa.array(flat))
 
     plain = [pa.array(count, pa.int64()), pa.array(fa.view(np.int64)), pa.array(fb.view(np.int64))]
-    return [*plain, listed(keys[: banding.tuples]), listed(keys[banding.tuples :])]
+    sketches = odd_sketches(text, hashed, n, banding.sketch)
+    sketch_offsets = (np.arange(n + 1) * banding.sketch).astype(np.int32)
+    sketch = pa.ListArray.from_arrays(pa.array(sketch_offsets), pa.array(sketches.ravel().view(np.int64)))
+    return [*plain, listed(keys[: banding.tuples]), listed(keys[banding.tuples :]), sketch]
+
+
+def odd_sketches(text: np.ndarray, hashed: np.ndarray, n: int, words: int) -> np.ndarray:
+    """Of each text ``64 * words`` bits: which of so many cells hold an odd number of the set's hashes.
+
+    Bits in which two sketches differ are the odd cells of the sets' symmetric difference.
+    """
+    cell = ((lexing.mix(hashed ^ np.uint64(0x5BD1E9955BD1E995)) >> np.uint64(32)) * np.uint64(64 * words)) >> np.uint64(32)
+    sketches = np.zeros(n * words, np.uint64)
+    np.bitwise_xor.at(sketches, text * words + (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63)))
+    return sketches.reshape(n, words)
+
+
+def near_sketches(a: str, b: str, both: Column, banding: Banding) -> Column:
+    """Whether sketches a and b of two sets, ``both`` elements together, may belong to a linked pair.
+
+    Linked sets differ in at most (100 - percent) / (100 + percent) of ``both`` elements. So many elements
+    thrown into the cells leave a known mean and variance of odd cells. Sets much larger than the sketch
+    fill it whatever they hold; the limit is then above all cells and rules nothing out.
+    """
+    cells = 64 * banding.sketch
+    unlike = both * F.lit((100 - banding.percent) / (100 + banding.percent))
+    even = F.exp(unlike * F.lit(math.log1p(-2 / cells)))
+    variance = F.greatest(F.lit(cells / 4) * (1 - even * even) - unlike * even * even, F.lit(0.0))
+    limit = F.lit(cells / 2) * (1 - even) + F.lit(banding.deviations) * F.sqrt(variance) + 1
+    differing = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, banding.sketch)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
+    return differing <= limit
 
 
 def _verifier(banding: Banding):
@@ -153,14 +191,28 @@ class _Links:
         known = self.labels.select(F.col("node").alias(node), F.col("component").alias("_component"))
         return rows.join(known, node, "left").withColumn(label, F.coalesce("_component", node)).drop("_component")
 
+    def _possible(self) -> Column:
+        """Of two components and near enough in size to link."""
+        most = F.greatest("n_shingles", "size")
+        return (F.col("label") != F.col("pivot_label")) & (100 * F.least("n_shingles", "size") >= self.banding.percent * most)
+
     def apart(self, bucketed: DataFrame, heads: DataFrame, bucket: str) -> DataFrame:
         """Pairs (a, b) of a bucket's members (node, n_shingles, label) with its heads
-        (pivot, size, pivot_label) that are of two components and near enough in size to link."""
-        most = F.greatest("n_shingles", "size")
-        possible = (F.col("label") != F.col("pivot_label")) & (100 * F.least("n_shingles", "size") >= self.banding.percent * most)
-        joined = bucketed.alias("m").join(heads.alias("h"), (F.col(f"m.{bucket}") == F.col(f"h.{bucket}")) & possible)
+        (pivot, size, pivot_label) that may link."""
+        joined = bucketed.alias("m").join(heads.alias("h"), (F.col(f"m.{bucket}") == F.col(f"h.{bucket}")) & self._possible())
         return joined.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
+    def keyed(self, bucketed: DataFrame, heads: DataFrame, traits: DataFrame) -> DataFrame:
+        """Of the pairs of ``apart`` those that share a key (u, v) and whose sketches are near, each at
+        the first u they share only. ``traits`` gives us, vs and sketch of a node."""
+        members = bucketed.join(traits, "node").alias("m")
+        ahead = traits.select(F.col("node").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in ("us", "vs", "sketch")])
+        ahead = heads.join(ahead, "pivot").alias("h")
+        near = near_sketches("sketch", "pivot_sketch", F.col("n_shingles") + F.col("size"), self.banding)
+        first = F.array_intersect("us", "pivot_us")[0] == F.col("m.u")
+        joined = members.join(ahead, (F.col("m.u") == F.col("h.u")) & self._possible() & near & F.arrays_overlap("vs", "pivot_vs") & first)
+        return joined.select(F.col("m.node").alias("a"), F.col("h.pivot").alias("b"))
+
     def test(self, pairs: DataFrame) -> None:
         """Verify the pairs (a, b) that were not tested before."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
@@ -191,7 +243,7 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     sets = full.groupBy("fa", "fb", "n_shingles").agg(F.min("row").alias("node"))
     members = staged(full.select("row", "doc_id", "key", "n_shingles", "fa", "fb").join(sets, ["fa", "fb", "n_shingles"]).drop("fa", "fb"), "near-members")
     nodes = members.filter("row = node").select("node", "key", "doc_id", "n_shingles")
-    tuples = signed.select(F.col("row").alias("node"), "us", "vs").join(nodes.select("node"), "node", "left_semi")
+    tuples = signed.select(F.col("row").alias("node"), "us").join(nodes.select("node"), "node", "left_semi")
 
     # Buckets by u alone: a star per bucket settles the clear groups. Its centre is the member
     # that meets most others over all its buckets, as the origin of a group of edited copies does.
@@ -210,25 +262,23 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     open_u = staged(_open(links.labeled(by_u, "node", "label"), "u"), "near-open")
     links.test(links.apart(open_u, _centres(open_u, "u"), "u"))
 
-    # Tensored keys, for members of u-buckets that still hold two components.
-    open_u = _open(links.labeled(open_u.select("node", "u"), "node", "label"), "u").select("node", "u")
-    crossed = open_u.join(tuples.select("node", "vs"), "node").select("node", "u", F.explode("vs").alias("v"))
-    crossed = crossed.select("node", F.xxhash64("u", "v").alias("bucket"))
-
+    # Keys of a u and a v, for members of u-buckets that still hold two components.
     def still(rows: DataFrame) -> DataFrame:
         """Members of the buckets that hold two components, with weight, size and label."""
-        kept = staged(_different(_open(links.labeled(rows, "node", "label"), "bucket")), "near-tensor")
+        kept = staged(_open(links.labeled(rows.select("node", "u"), "node", "label"), "u").select("node", "u"), "near-tensor")
         return links.labeled(kept.join(weights, "node"), "node", "label")
 
-    buckets = still(crossed)
+    traits = signed.select(F.col("row").alias("node"), "us", "vs", "sketch")
+    traits = staged(traits.join(open_u.select("node").distinct(), "node"), "near-traits")
+    buckets = still(open_u)
     pivots = banding.pivots
     while not buckets.isEmpty():
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node"))
+        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("weight"), "node"))
         heads = buckets.withColumn("place", place).filter(F.col("place") <= pivots)
-        heads = staged(heads.select("bucket", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label")), "near-pivots")
-        links.test(links.apart(buckets, heads, "bucket"))
+        heads = staged(heads.select("u", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label")), "near-pivots")
+        links.test(links.keyed(buckets, heads, traits))
         # A pivot has met all of its bucket; the others go on while they are of two components.
-        rest = buckets.select("node", "bucket").join(heads.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
+        rest = buckets.select("node", "u").join(heads.select("u", F.col("pivot").alias("node")), ["u", "node"], "left_anti")
         buckets = still(rest)
         pivots *= 4
 
@@ -253,14 +303,6 @@ def _centres(rows: DataFrame, bucket: str) -> DataFrame:
     return found.select(bucket, (-F.col("c.m")).alias("pivot"), F.col("c.n_shingles").alias("size"), F.col("c.label").alias("pivot_label"))
 
 
-def _different(rows: DataFrame) -> DataFrame:
-    """node, bucket of one bucket for each set of members: others of the same members hold the same pairs."""
-    rows = rows.select("node", "bucket")
-    seal = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
-    kept = rows.groupBy("bucket").agg(*seal).groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return rows.join(kept, "bucket")
-
-
 def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of the wanted nodes; rows that are alike in doc_id and text give one."""
     keys = wanted.select("node", F.col("key.a").alias("ka"), F.col("key.b").alias("kb"))

@@ -1,10 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartograin.llm.components import components, merged
-from cartograin.llm.minhash_dedup import Banding, minhash_dedup, shingle_sets, without_near_copies
+from cartograin.llm.minhash_dedup import Banding, minhash_dedup, near_sketches, odd_sketches, shingle_sets, without_near_copies
 
 from .conftest import HARD
 
@@ -125,3 +127,33 @@ def test_groups_that_meet_in_buckets_without_linking(documents):
     rows = [(i, " ".join(edited(rng, words, 1))) for i in range(1, 60)] + [(100 + i, " ".join(edited(rng, other, 1))) for i in range(60)]
     rows += [(300, " ".join(middle)), (301, " ".join(words[:60] + [f"z{i}" for i in range(60)]))]
     assert found(minhash_dedup(documents(rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [7, 70, 700, 7000])
+def test_sketches_keep_links_and_rule_out_others(spark, size):
+    """Sets of ``size`` elements that differ in exactly as many as a link allows stay, half-alike ones of middle size go."""
+    rng = np.random.default_rng(size)
+
+    def kept(differing):
+        rows = []
+        for _ in range(300):
+            pool = rng.integers(0, 1 << 63, size + differing).astype(np.uint64)
+            text, hashed = np.repeat([0, 1], size), np.concatenate([pool[:size], pool[differing:]])
+            rows.append(tuple(x.view(np.int64).tolist() for x in odd_sketches(text, hashed, 2, 16)))
+        frame = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
+        return frame.filter(near_sketches("a", "b", F.lit(2 * size), Banding())).count()
+
+    assert kept(size // 7) == 300
+    assert size not in (70, 700) or kept(size // 3) == 0
+
+
+def test_links_at_the_limit_are_found(documents):
+    """1,000 pairs at a similarity of exactly 0.75 (72 of 96 shingles), in one group that shares a passage."""
+    shared = [f"s{i}" for i in range(30)]
+    rows = []
+    for pair in range(1000):
+        common = shared + [f"p{pair}x{i}" for i in range(46)]
+        rows += [(2 * pair, " ".join([f"a{pair}y{i}" for i in range(12)] + common)), (2 * pair + 1, " ".join([f"b{pair}y{i}" for i in range(12)] + common))]
+    got = {r.doc_id: r.component_id for r in minhash_dedup(documents(rows)).collect()}
+    assert sum(got[2 * p + 1] == 2 * p for p in range(1000)) >= 990
+    assert all(component in (doc, doc - 1) for doc, component in got.items())
