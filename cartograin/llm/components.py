@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     each round; aggregation is partial, so a node of any degree is no hot key.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    both = staged(both.filter("node != other").distinct(), "component-edges")
+    both = staged(both.filter("node != other"), "component-edges")
     labels = staged(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")), "component-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("near"))

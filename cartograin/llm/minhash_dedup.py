@@ -36,6 +36,7 @@ class Banding:
     """A pair of similarity s shares a tuple of one side with probability 1 - (1 - s^size)^tuples, and
     is found with the square of it: 0.9992 at s = 0.75, 0.9999 at 0.78, 0.22 at 0.5, 0.02 at 0.4.
 
+    A bucket has ``pivots`` pivots at first, ``growth`` times as many in each round after.
     ``sketch`` is the number of 64-bit words of a node's odd sketch; pairs are ruled out that differ in
     more bits than a linked pair does on average plus ``deviations`` standard deviations, which a linked
     pair does with a chance below one in a million."""
@@ -45,6 +46,7 @@ class Banding:
     tuples: int = 40
     size: int = 6
     pivots: int = 4
+    growth: int = 16
     sketch: int = 16
     deviations: float = 5.0
 
@@ -262,25 +264,24 @@ def near_components(documents: DataFrame, banding: Banding = Banding()) -> DataF
     open_u = staged(_open(links.labeled(by_u, "node", "label"), "u"), "near-open")
     links.test(links.apart(open_u, _centres(open_u, "u"), "u"))
 
-    # Keys of a u and a v, for members of u-buckets that still hold two components.
+    # Keys of a u and a v, for members of u-buckets that still hold two components. Buckets close
+    # as a whole, so places given once stay in order.
     def still(rows: DataFrame) -> DataFrame:
-        """Members of the buckets that hold two components, with weight, size and label."""
-        kept = staged(_open(links.labeled(rows.select("node", "u"), "node", "label"), "u").select("node", "u"), "near-tensor")
-        return links.labeled(kept.join(weights, "node"), "node", "label")
+        """Members of the buckets that hold two components, with label."""
+        return staged(_open(links.labeled(rows, "node", "label"), "u"), "near-open")
 
     traits = signed.select(F.col("row").alias("node"), "us", "vs", "sketch")
     traits = staged(traits.join(open_u.select("node").distinct(), "node"), "near-traits")
-    buckets = still(open_u)
-    pivots = banding.pivots
+    place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("weight"), "node"))
+    buckets = still(open_u.select("node", "u", "n_shingles", place.alias("place")))
+    pivots, upto = banding.pivots, banding.pivots
     while not buckets.isEmpty():
-        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("weight"), "node"))
-        heads = buckets.withColumn("place", place).filter(F.col("place") <= pivots)
-        heads = staged(heads.select("u", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label")), "near-pivots")
-        links.test(links.keyed(buckets, heads, traits))
+        heads = buckets.filter(F.col("place") <= upto)
+        links.test(links.keyed(buckets, heads.select("u", F.col("node").alias("pivot"), F.col("n_shingles").alias("size"), F.col("label").alias("pivot_label")), traits))
         # A pivot has met all of its bucket; the others go on while they are of two components.
-        rest = buckets.select("node", "u").join(heads.select("u", F.col("pivot").alias("node")), ["u", "node"], "left_anti")
-        buckets = still(rest)
-        pivots *= 4
+        buckets = still(buckets.filter(F.col("place") > upto).drop("label"))
+        pivots *= banding.growth
+        upto += pivots
 
     grouped = links.labeled(members, "node", "component")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
