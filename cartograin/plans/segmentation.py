@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -101,16 +103,38 @@ def prepare(rfm: DataFrame) -> Prepared:
     return Prepared(model, by_rows(model.transform(rfm).select(*rfm.columns, "features"), rows).persist())
 
 
+def _fit_all(prepared: Prepared, wanted: Sequence[tuple[int, int]]) -> list:
+    """A k-means model for each (k, seed). A fit is many short jobs, so as many
+    fits as there are cores run side by side; a fit does not depend on the others.
+
+    A fit given a stored frame decodes its rows in every iteration; given a
+    projection of it, it keeps the vectors themselves.
+    """
+    features = prepared.frame.select("features")
+
+    def fit(k_and_seed: tuple[int, int]):
+        k, seed = k_and_seed
+        return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id", maxIter=300).fit(features)
+
+    prepared.frame.count()  # cached before the first fit reads it
+    spark = prepared.frame.sparkSession
+    with ThreadPool(max(1, min(len(wanted), spark.sparkContext.defaultParallelism))) as pool:
+        return pool.map(inheritable_thread_target(spark)(fit), wanted, chunksize=1)
+
+
+def fit_cluster_family(prepared: Prepared, ks: Sequence[int], restarts: int = 20, seed: int = 42) -> dict:
+    """For each k the best of ``restarts`` seeded runs by within-cluster cost."""
+    wanted = [(k, seed + attempt) for k in ks for attempt in range(restarts)]
+    best: dict = {}
+    for (k, _), model in zip(wanted, _fit_all(prepared, wanted)):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
+
+
 def fit_clusters(prepared: Prepared, k: int, restarts: int = 20, seed: int = 42):
     """Best of ``restarts`` seeded runs by within-cluster cost."""
-    best = None
-    for attempt in range(restarts):
-        model = KMeans(k=k, seed=seed + attempt, featuresCol="features", predictionCol="cluster_id", maxIter=300).fit(
-            prepared.frame
-        )
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    return fit_cluster_family(prepared, [k], restarts, seed)[k]
 
 
 def cluster_pipeline(prepared: Prepared, k: int, restarts: int = 20, seed: int = 42) -> PipelineModel:
@@ -185,8 +209,7 @@ def evaluate_k(
     ks = list(ks)
     rows, models = [], {}
     labelled = prepared.frame.select(PERSON, "features")
-    for k in ks:
-        clusters = fit_clusters(prepared, k, restarts, seed)
+    for k, clusters in fit_cluster_family(prepared, ks, restarts, seed).items():
         models[k] = PipelineModel([*prepared.model.stages, clusters])
         labelled = clusters.setPredictionCol(f"c{k}").transform(labelled)
         clusters.setPredictionCol("cluster_id")
