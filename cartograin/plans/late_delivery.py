@@ -116,10 +116,10 @@ SOURCE = {feature: table for table, features in ORIGIN.items() for feature in fe
 def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, translation: DataFrame) -> DataFrame:
     """One row per order with items.
 
-    Sums, distinct counts and the dominant category and seller state come from
-    one pass over the joined items: each item yields one row for the sums and
-    one per counted value, all are combined on the map side, and a second
-    aggregation folds them per order.
+    Items of one order, product and seller are one row with their number before
+    they are joined. The joined rows are dealt out by order, and only there each
+    yields one row for the sums and one per counted value; these are combined and
+    folded per order where they are.
     """
     catalogue = lookup_join(products, translation, "product_category_name", "left").select(
         "product_id",
@@ -129,31 +129,33 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
         "product_height_cm",
         "product_width_cm",
     )
-    detail = lookup_join(items, catalogue, "product_id")
+    lines = items.groupBy("order_id", "product_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight")
+    )
+    detail = lookup_join(lines, catalogue, "product_id")
     detail = lookup_join(detail, sellers.select("seller_id", "seller_state"), "seller_id")
     sizes = ("length", "height", "width")
+    n = F.col("n")
     measures = {
         "price": F.col("price"),
-        "freight": F.col("freight_value"),
-        "weight": F.col("product_weight_g"),
-        **{size: F.col(f"product_{size}_cm").cast("double") for size in sizes},
+        "freight": F.col("freight"),
+        "weight": n * F.col("product_weight_g"),
+        **{size: n * F.col(f"product_{size}_cm").cast("double") for size in sizes},
+        **{f"{size}_n": F.when(F.col(f"product_{size}_cm").isNotNull(), n) for size in sizes},
     }
     # Row kinds: 0 carries the measures, 1 to 4 carry one value to count each.
     category, state, product, seller = 1, 2, 3, 4
     counted = {category: "category", state: "seller_state", product: "product_id", seller: "seller_id"}
-    shaped = detail.select("order_id", *counted.values(), *[c.alias(f"_{n}") for n, c in measures.items()])
+    dealt = detail.repartition("order_id")
+    shaped = dealt.select("order_id", "n", *counted.values(), *[c.alias(f"_{name}") for name, c in measures.items()])
     nothing = [F.lit(None).cast(shaped.schema[f"_{name}"].dataType) for name in measures]
-    cells = [F.lit(0), F.lit(None).cast("string"), *[F.col(f"_{name}") for name in measures]]
+    cells = [F.lit(0), F.lit(None).cast("string"), n, *[F.col(f"_{name}") for name in measures]]
     for kind, name in counted.items():
-        cells += [F.lit(kind), F.col(name).cast("string"), *nothing]
+        cells += [F.lit(kind), F.col(name).cast("string"), n, *nothing]
     grouped = (
-        shaped.select("order_id", F.stack(F.lit(len(counted) + 1), *cells).alias("kind", "v", *measures))
+        shaped.select("order_id", F.stack(F.lit(len(counted) + 1), *cells).alias("kind", "v", "n", *measures))
         .groupBy("order_id", "kind", "v")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(name).alias(name) for name in ("price", "freight", "weight")],
-            *[F.avg(size).alias(size) for size in sizes],
-        )
+        .agg(*[F.sum(name).alias(name) for name in ("n", *measures)])
     )
 
     def of(kind: int, value):
@@ -170,7 +172,7 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
         F.count(of(product, F.col("v"))).alias("unique_products"),
         F.count(of(seller, F.col("v"))).alias("seller_count"),
         F.max("weight").cast("double").alias("total_product_weight_g"),
-        *[F.max(size).alias(f"average_product_{size}_cm") for size in sizes],
+        *[F.max(F.col(size) / F.col(f"{size}_n")).alias(f"average_product_{size}_cm") for size in sizes],
         dominant(category).alias("dominant_product_category"),
         dominant(state).alias("dominant_seller_state"),
     )
@@ -190,7 +192,14 @@ def payment_features(payments: DataFrame) -> DataFrame:
 
 
 def modeling_dataset(tables: Mapping[str, DataFrame], rules: StatusRules = DEFAULT_RULES) -> DataFrame:
-    """One row per delivered order with items: 21 features and the target."""
+    """One row per delivered order with items: 21 features and the target.
+
+    Items and payments of orders in another status are left out before anything
+    else is done with them; which status an order has needs no delivery date.
+    """
+    candidates = tables["orders"].filter(F.col("order_status") == rules.delivered).select("order_id")
+    items = lookup_join(tables["order_items"], candidates, "order_id", "left_semi")
+    payments = lookup_join(tables["payments"], candidates, "order_id", "left_semi")
     purchased = F.col("order_purchase_timestamp")
     known = tables["orders"].filter(is_delivered(rules) & F.col("order_estimated_delivery_date").isNotNull())
     outcome = known.select(
@@ -208,10 +217,10 @@ def modeling_dataset(tables: Mapping[str, DataFrame], rules: StatusRules = DEFAU
     )
     located = lookup_join(outcome, people, "customer_id")
     baskets = basket_features(
-        tables["order_items"], tables["products"], tables["sellers"], tables["product_category_translation"]
+        items, tables["products"], tables["sellers"], tables["product_category_translation"]
     )
     joined = lookup_join(located, baskets, "order_id")
-    joined = lookup_join(joined, payment_features(tables["payments"]), "order_id", "left")
+    joined = lookup_join(joined, payment_features(payments), "order_id", "left")
     flagged = joined.withColumn("same_customer_seller_state", same_state_flag("customer_state", "dominant_seller_state"))
     return flagged.select(KEY, TIME, *FEATURES, TARGET)
 

@@ -844,7 +844,8 @@ def _(r):
 
 @query("h6_quantile_band")
 def _(r):
-    banded = statistics.quantile_band(modeling(r).select("order_id", "item_value"), "item_value", 4, "band")
+    values = checkpointed(modeling(r).select("order_id", "item_value"))  # ranked, then banded
+    banded = statistics.quantile_band(values, "item_value", 4, "band")
     return rounded(banded, 4)
 
 
