@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
@@ -338,6 +340,9 @@ def _estimators(settings: CandidateSettings, rows: int) -> dict[str, tuple[bool,
                 minInstancesPerNode=settings.tree_min_rows,
                 featureSubsetStrategy="sqrt",
                 seed=settings.seed,
+                # A row keeps its node of every tree; without that, each pass sends all trees and walks them again.
+                cacheNodeIds=True,
+                checkpointInterval=-1,
                 **shared,
             ),
         ),
@@ -360,7 +365,8 @@ def fit_candidates(
     names: tuple[str, ...] = ("DummyClassifier", "LogisticRegression", "RandomForestClassifier", "GBTClassifier"),
 ) -> dict[str, PipelineModel]:
     """Fitted pipelines by name. Rows are weighted so both classes count alike,
-    and each preprocessing variant is fitted once and its output kept."""
+    each preprocessing variant is fitted once and its output kept, and the
+    candidates are fitted side by side."""
     models: dict[str, PipelineModel] = {}
     if "DummyClassifier" in names:
         models["DummyClassifier"] = dummy_prior(train)
@@ -369,16 +375,20 @@ def fit_candidates(
     if not 0 < late < rows:
         raise ValueError("training rows must hold both classes")
     weight = F.when(F.col(TARGET) == 1, rows / (2.0 * late)).otherwise(rows / (2.0 * (rows - late)))
+    chosen = {name: choice for name, choice in _estimators(settings, rows).items() if name in names}
     prepared: dict[bool, tuple[PipelineModel, DataFrame]] = {}
-    for name, (scaled, estimator) in _estimators(settings, rows).items():
-        if name not in names:
-            continue
-        if scaled not in prepared:
-            model = Pipeline(stages=build_preprocessor(train, scaled)).fit(train)
-            frame = model.transform(train).withColumn("_weight", weight).select("features", TARGET, "_weight")
-            prepared[scaled] = (model, by_rows(frame, rows).persist())
-        preprocessing, frame = prepared[scaled]
-        models[name] = PipelineModel([*preprocessing.stages, estimator.fit(frame)])
+    for scaled in dict.fromkeys(scaled for scaled, _ in chosen.values()):
+        model = Pipeline(stages=build_preprocessor(train, scaled)).fit(train)
+        frame = model.transform(train).withColumn("_weight", weight).select("features", TARGET, "_weight")
+        prepared[scaled] = (model, by_rows(frame, rows, least=16).persist())
+
+    def fit(choice: tuple[bool, object]) -> PipelineModel:
+        preprocessing, frame = prepared[choice[0]]
+        return PipelineModel([*preprocessing.stages, choice[1].fit(frame)])
+
+    if chosen:
+        with ThreadPool(len(chosen)) as pool:
+            models |= zip(chosen, pool.map(inheritable_thread_target(train.sparkSession)(fit), chosen.values(), chunksize=1))
     for _, frame in prepared.values():
         frame.unpersist()
     return models
