@@ -153,12 +153,12 @@ def category_review_extremes(
     min_items: int = 100,
 ) -> DataFrame:
     """The lowest and the highest rated categories."""
-    # Items of one order and category share its score: joined as one row.
-    baskets = eligible(items_ds, rules).groupBy("order_id", "category_english").agg(F.count(F.lit(1)).alias("n"))
-    scored = lookup_join(baskets, order_scores(reviews_ds), "order_id")
+    # Few items share order and category: grouped by them first, a task would hold nearly all its rows.
+    listed = eligible(items_ds, rules).select("order_id", "category_english")
+    scored = lookup_join(listed, order_scores(reviews_ds), "order_id")
     grouped = scored.groupBy("category_english").agg(
-        F.round(ratio(F.sum(F.col("order_score") * F.col("n")), F.sum("n")), 6).alias("average_review"),
-        F.sum("n").alias("reviewed_items"),
+        F.round(ratio(F.sum("order_score"), F.count(F.lit(1))), 6).alias("average_review"),
+        F.count(F.lit(1)).alias("reviewed_items"),
     )
     kept = grouped.filter(F.col("reviewed_items") >= min_items)
     ends = head_tail(
