@@ -121,7 +121,9 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
     Items of one order, product and seller are one row with their number before
     they are joined. The joined rows are dealt out by order, and only there each
     yields one row for the sums and one per counted value; these are combined and
-    folded per order where they are.
+    folded per order where they are. They are dealt over the session's number of
+    shuffle partitions as it is: adaptive execution joins partitions by the size
+    before the rows multiply, and such a partition would not fit in memory.
     """
     catalogue = lookup_join(products, translation, "product_category_name", "left").select(
         "product_id",
@@ -148,7 +150,8 @@ def basket_features(items: DataFrame, products: DataFrame, sellers: DataFrame, t
     # Row kinds: 0 carries the measures, 1 to 4 carry one value to count each.
     category, state, product, seller = 1, 2, 3, 4
     counted = {category: "category", state: "seller_state", product: "product_id", seller: "seller_id"}
-    dealt = detail.repartition("order_id")
+    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = detail.repartition(partitions, "order_id")
     shaped = dealt.select("order_id", "n", *counted.values(), *[c.alias(f"_{name}") for name, c in measures.items()])
     nothing = [F.lit(None).cast(shaped.schema[f"_{name}"].dataType) for name in measures]
     cells = [F.lit(0), F.lit(None).cast("string"), n, *[F.col(f"_{name}") for name in measures]]
