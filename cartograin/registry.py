@@ -880,7 +880,7 @@ def _(r):
 
 @query("h10_split_summary")
 def _(r):
-    return rounded(late_delivery.split_summary(late_delivery.split_dataset(modeling(r))))
+    return rounded(late_delivery.split_summary(late_delivery.split_dataset(checkpointed(modeling(r)))))
 
 
 @query("h11_expanding_folds")
@@ -1143,8 +1143,9 @@ def _(r):
 # --- fitted models: rows only in the SQL comparison -----------------------
 
 def split_rows(r: Roles) -> DataFrame:
-    """The split modelling rows, written once: every fit reads them many times."""
-    return checkpointed(late_delivery.split_dataset(modeling(r)))
+    """The split modelling rows, written once: every fit reads them many times.
+    The rows are written before as well, since they are ranked and then labelled."""
+    return checkpointed(late_delivery.split_dataset(checkpointed(modeling(r))))
 
 
 def train_rows(split: DataFrame) -> DataFrame:
