@@ -384,13 +384,19 @@ def fit_candidates(
         frame = model.transform(train).withColumn("_weight", weight).select("features", TARGET, "_weight")
         prepared[scaled] = (model, by_rows(frame, rows, least=16).persist())
 
-    def fit(choice: tuple[bool, object]) -> PipelineModel:
-        preprocessing, frame = prepared[choice[0]]
-        return PipelineModel([*preprocessing.stages, choice[1].fit(frame)])
+    cores = train.sparkSession.sparkContext.defaultParallelism
+
+    def fit(name: str) -> PipelineModel:
+        scaled, estimator = chosen[name]
+        preprocessing, frame = prepared[scaled]
+        if name != "RandomForestClassifier":
+            # A thousand short jobs: tasks beyond the cores only add to each.
+            frame = by_rows(frame, rows, least=min(16, cores))
+        return PipelineModel([*preprocessing.stages, estimator.fit(frame)])
 
     if chosen:
         with ThreadPool(len(chosen)) as pool:
-            models |= zip(chosen, pool.map(inheritable_thread_target(train.sparkSession)(fit), chosen.values(), chunksize=1))
+            models |= zip(chosen, pool.map(inheritable_thread_target(train.sparkSession)(fit), chosen, chunksize=1))
     for _, frame in prepared.values():
         frame.unpersist()
     return models
