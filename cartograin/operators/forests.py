@@ -5,8 +5,9 @@ each pass, which grows with nodes times partitions. Here a row becomes about 25
 bin of each number, the set 0/1 columns, label, draws) and is dealt once to each of a
 bounded number of tasks; which rows a tree draws is computed where they are. A task keeps a
 tree's rows sorted by node, so a level is one pass over them, and beyond ``HELD`` rows they
-lie in files of the task that are split until a part fits. Histograms are whole numbers, so
-the trees depend neither on the order of the rows nor on the number of tasks.
+lie in files of the task that are split until a part fits. Draws are
+seeded by tree and block and histograms are whole numbers, so the trees do not depend on
+the number of tasks nor on the order in which blocks arrive.
 
 A tree has at most 2^(depth + 1) nodes of seven bytes however many rows there are; the model
 is these arrays, and rows are scored where they are.
